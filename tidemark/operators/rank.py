@@ -26,10 +26,10 @@ def top_per_window(
 
 
 def top_items(
-    behavior: DataFrame, n: int = 3, size: str = "1 hour", slide: str = "5 minutes"
+    behavior: DataFrame, n: int = 3, size: str = "1 hour", slide: str = "5 minutes", view: str = "pv"
 ) -> DataFrame:
     """Most viewed items of the last hour, every five minutes."""
-    views = behavior.filter(F.col("behavior") == "pv")
+    views = behavior.filter(F.col("behavior") == view)
     return top_per_window(views, "item_id", "ts", size, slide, n)
 
 
@@ -58,7 +58,7 @@ def report(ranked: DataFrame, item: str) -> DataFrame:
 TOP_ITEMS_SQL = """
 WITH panes AS (
   SELECT window(ts, '5 minutes').end AS pane_end, item_id, count(*) AS n
-  FROM {view} WHERE behavior = 'pv' GROUP BY ALL
+  FROM {source} WHERE behavior = '{view}' GROUP BY ALL
 ), counts AS (
   SELECT item_id, window_end, sum(n) AS icount
   FROM (SELECT item_id, n,
@@ -74,6 +74,6 @@ SELECT window_end, item_id, icount, CAST(row_num AS bigint) AS row_num FROM rank
 """
 
 
-def sql_top_items(spark: SparkSession, view: str) -> DataFrame:
+def sql_top_items(spark: SparkSession, source: str, view: str = "pv") -> DataFrame:
     """The hot-item ranking as one SQL statement over a temporary view of behaviour rows."""
-    return spark.sql(TOP_ITEMS_SQL.format(view=view))
+    return spark.sql(TOP_ITEMS_SQL.format(source=source, view=view))
