@@ -9,6 +9,10 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def build_session(name: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library is tuned for; ``conf`` adds or overrides."""
     settings = {
@@ -16,9 +20,7 @@ def build_session(name: str = "tidemark", master: str | None = None, **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.streaming.stateStore.providerClass": (
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-        ),
+        STATE_PROVIDER: ROCKSDB,
         **conf,
     }
     builder = SparkSession.builder.appName(name)
@@ -35,6 +37,12 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def use_rocksdb(spark: SparkSession) -> SparkSession:
+    """Keep streaming state in RocksDB, outside the JVM heap; stateful processors need it."""
+    spark.conf.set(STATE_PROVIDER, ROCKSDB)
+    return spark
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new path for a written table or a stream's checkpoint, in the cluster's shared folder.
 
