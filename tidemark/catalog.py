@@ -20,6 +20,7 @@ from tidemark.operators.patterns import Pattern, match
 from tidemark.session import shared_dir
 from tidemark.sinks import documents, keyed
 from tidemark.sources import lines, tables
+from tidemark.streaming import folds, operators, processors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -878,3 +879,127 @@ def uv_bitmap(spark, sf_dir):
 @query()
 def uv_approx(spark, sf_dir):
     return visitors.approximate(_behavior(spark, sf_dir), view="view").drop("window_start")
+
+
+# --- streams -------------------------------------------------------------------------------
+#
+# Each runs over what the source holds now and stops; what the final watermark has not passed is
+# still in state, so the SQL cuts the batch result there.
+
+DELAY = "1 hour"
+PASSED = "(SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 HOUR FROM {events})"
+SEEN = PASSED.format(events="events")
+
+
+def _stream(spark, sf_dir, name="events", ts="ts"):
+    return operators.with_event_time(model.table_stream(spark, sf_dir, name), ts, DELAY)
+
+
+def _cut(name: str, condition: str) -> str:
+    return f"SELECT * FROM ({ORACLES[name]}) WHERE {condition}"
+
+
+def _times(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.timestamp_micros(c).cast("timestamp_ntz") for c in columns})
+
+
+@query(
+    f"""SELECT user_id, {end('ts', DAY)} AS window_end, count(*) AS count FROM events GROUP BY 1, 2
+        HAVING {end('ts', DAY)} <= {SEEN}"""
+)
+def tumble_count_wm(spark, sf_dir):
+    counts = operators.tumble_count(_stream(spark, sf_dir), ["user_id"], "ts", "1 day")
+    return _ntz(operators.finished(spark, counts, "tumble-count"), "window_end").drop("window_start")
+
+
+@query(_cut("uv_exact", f"window_end <= {PASSED.format(events=VIEWS)}"))
+def stream_uv_exact(spark, sf_dir):
+    views = _stream(spark, sf_dir).filter("event_type = 'view'")
+    counts = operators.unique_visitors(views, "user_id", "ts", "1 hour")
+    return _ntz(operators.finished(spark, counts, "uv"), "window_end").drop("window_start")
+
+
+@query(_cut("top_items", f"window_end <= {PASSED.format(events=VIEWS)}"))
+def stream_top_items(spark, sf_dir):
+    views = model.user_behavior(_stream(spark, sf_dir)).filter("behavior = 'view'")
+    path = shared_dir(spark, "top-items")
+    operators.rank_batches(
+        views, "item_id", "ts", "1 hour", "5 minutes", 3,
+        lambda batch, number: batch.write.mode("overwrite").parquet(f"{path}/batch={number}"),
+        shared_dir(spark, "top-items-checkpoint"),
+    ).awaitTermination()
+    return _ntz(spark.read.parquet(path).drop("batch"), "window_end")
+
+
+@query(ORACLES["interval_join"])
+def stream_interval_join(spark, sf_dir):
+    orders = _stream(spark, sf_dir, "orders", "o_orderdate")
+    items = _stream(spark, sf_dir, "lineitem", "l_shipdate")
+    pairs = operators.interval_join(
+        orders.select(F.col("o_orderkey").alias("orderkey"), "o_orderdate"),
+        items.select(F.col("l_orderkey").alias("orderkey"), "l_linenumber", "l_shipdate"),
+        "orderkey", "o_orderdate", "l_shipdate", "-30 days", "30 days",
+    )
+    return _ntz(operators.finished(spark, pairs, "interval-join"), "o_orderdate", "l_shipdate")
+
+
+def _folded(spark, sf_dir, fold, label, **columns):
+    found = processors.run_fold(_stream(spark, sf_dir), fold, "user_id", "ts", "event_id", **columns)
+    return operators.finished(spark, found, label)
+
+
+@query(
+    f"""SELECT user_id, d.event_id, d.temperature AS value, d.diff FROM ({ORACLES['temp_diff_ttl']}) d
+        JOIN events e ON d.event_id = e.event_id WHERE e.ts <= {SEEN}"""
+)
+def stream_temp_diff_ttl(spark, sf_dir):
+    fold = folds.ValueChange(expire=6 * HOUR)
+    found = _folded(spark, sf_dir, fold, "temp-diff", value=F.col("value"))
+    return found.select("user_id", F.col("tie").alias("event_id"), "value", F.round("diff", 6).alias("diff"))
+
+
+@query(f"SELECT CAST(id AS bigint) AS user_id, alert_at FROM ({_cut('temp_rise_alert', f'alert_at <= {SEEN}')})")
+def stream_temp_rise_alert(spark, sf_dir):
+    found = _folded(spark, sf_dir, folds.RiseAlert(12 * HOUR), "rise", value=F.col("value"))
+    return _times(found, "alert_at")
+
+
+@query(_cut("anchored_window_count", f"fired_at <= {SEEN}"))
+def stream_anchored_window_count(spark, sf_dir):
+    return _times(_folded(spark, sf_dir, folds.AnchoredCount(12 * HOUR), "anchored"), "anchor", "fired_at")
+
+
+@query(_cut("login_fail_window", f"alert_at <= {SEEN}"))
+def stream_login_fail_window(spark, sf_dir):
+    fold = folds.LoginFailures(12 * HOUR, "error", "signup")
+    return _times(_folded(spark, sf_dir, fold, "login", kind=F.col("event_type")), "alert_at")
+
+
+@query(_cut("order_timeout_state", f"timeout_at <= {SEEN}"))
+def stream_order_timeout(spark, sf_dir):
+    fold = folds.OrderTimeouts(12 * HOUR, "click", "purchase")
+    found = _folded(spark, sf_dir, fold, "order-timeout", kind=F.col("event_type"))
+    return _times(found, "created_at", "timeout_at")
+
+
+@query(_cut("retract_changelog", f"ts <= {SEEN}"))
+def stream_retract_changelog(spark, sf_dir):
+    item = F.get_json_object("props", "$.k")
+    found = _folded(spark, sf_dir, folds.MinMaxChanges(), "changelog", value=item)
+    return _times(found.withColumnRenamed("at", "ts").withColumnRenamed("tie", "event_id"), "ts")
+
+
+@query(
+    f"""SELECT event_id, user_id, value FROM ({ORACLES['switch_filter']}) WHERE ts <= {SEEN}"""
+)
+def stream_switch_filter(spark, sf_dir):
+    on = F.col("event_type") == "signup"
+    length = (F.get_json_object("props", "$.k").cast("bigint") + 1) * 60_000_000
+    # A switch sorts before a reading of the same time.
+    rows = _stream(spark, sf_dir).withColumn("order", F.when(on, -1).otherwise(F.col("event_id")))
+    found = processors.run_fold(
+        rows, folds.SwitchFilter(), "user_id", "ts", "order",
+        value=F.when(on, length).otherwise(F.col("value")), kind=F.when(on, "switch"),
+    )
+    out = operators.finished(spark, found, "switch")
+    return out.select(F.col("tie").alias("event_id"), "user_id", "value")
