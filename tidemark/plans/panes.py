@@ -76,8 +76,8 @@ def sliding(
         panes.withColumns({"_first": floor_to(pane - size + slide, block), "_last": floor_to(pane, block)})
         .withColumn("_block", F.explode(F.array_distinct(F.array(first, last))))
         .drop("_first", "_last")
-        .repartition(*keys, "_block")
     )
+    spread = before_fan_out(spread, *keys, "_block")
     starts = F.sequence(
         F.greatest(pane - size + slide, F.col("_block")),
         F.least(pane, F.col("_block") + block - slide),
@@ -96,6 +96,15 @@ def sliding(
     )
 
 
+def before_fan_out(df: DataFrame, *by: str) -> DataFrame:
+    """Shuffle rows that are about to be multiplied.
+
+    The number of partitions is given, because adaptive execution would merge partitions by their
+    size before the rows fan out, and leave the larger part of the work to a few tasks.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 def sliding_plain(
     df: DataFrame,
     keys: Sequence[str],
@@ -135,7 +144,7 @@ def early_firing(
     return (
         df.groupBy(*keys, floor_to(pos, size).alias("_start"), floor_to(pos, step).alias("_pane"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .repartition(*keys, "_start")
+        .transform(before_fan_out, *keys, "_start")
         .withColumn("_at", F.explode(ends))
         .groupBy(*keys, "_start", "_at")
         .agg(F.sum("_n").alias("count"))
