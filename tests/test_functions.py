@@ -36,6 +36,8 @@ def test_hash_code(spark):
     assert sql == {t: wrap(java_hash(t) * 10) for t in texts}
     ten = {r.s: r.h for r in df.select("s", strings.hash_code(F.col("s"), 10).alias("h")).collect()}
     assert ten == sql
+    arrow = df.select("s", strings.hash_code_of_texts(10)("s").alias("h"))
+    assert {r.s: r.h for r in arrow.collect()} == sql
 
 
 def test_visitor_bucket(spark):

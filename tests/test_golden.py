@@ -89,17 +89,17 @@ def test_window_join(spark):
     assert joins.window_join(a, b, ["k"], "a", "b", "5 seconds").count() == 3
 
 
-def test_reconcile(spark, hot):
+def test_reconcile(spark):
     orders = at(spark.createDataFrame([("1", 4), ("2", 5), ("3", 9)], "id string, o int"), "o")
     pays = at(spark.createDataFrame([("1", 7), ("2", 8), ("4", 10)], "id string, p int"), "p")
-    out = joins.reconcile(orders, pays, "id", "o", "p", hot=hot).select("id", "output")
+    out = joins.reconcile(orders, pays, "id", "o", "p").select("id", "output")
     assert rows(out) == [("1", "matched"), ("2", "matched"), ("3", "unmatched_order"), ("4", "unmatched_pay")]
 
 
-def test_reconcile_repeated_keys(spark, hot):
+def test_reconcile_repeated_keys(spark):
     orders = at(spark.createDataFrame([("a", 0), ("a", 3), ("a", 20)], "id string, o int"), "o")
     pays = at(spark.createDataFrame([("a", 5), ("a", 14), ("a", 40)], "id string, p int"), "p")
-    out = seconds(joins.reconcile(orders, pays, "id", "o", "p", hot=hot), "order_at", "pay_at")
+    out = seconds(joins.reconcile(orders, pays, "id", "o", "p"), "order_at", "pay_at")
     assert rows(out.select("order_at", "pay_at", "output")) == [
         (0.0, 5.0, "matched"),
         (20.0, None, "unmatched_order"),

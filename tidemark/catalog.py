@@ -755,11 +755,22 @@ UNITS = (
         FROM t"""
 )
 def udf_hash_code(spark, sf_dir):
-    strings.register_hash_code(spark, "hash_code_10", factor=10)
+    spark.udf.register("hash_code_10", strings.hash_code_of_texts(factor=10))
     view = _view(model.table(spark, sf_dir, "documents"), "documents")
     return spark.sql(f"SELECT doc_id, hash_code_10(text) AS hash FROM {view}")
 
 
+@query(
+    f"""WITH h AS (SELECT user_id, list_reduce({UNITS.format(text="'sensor_' || user_id")},
+                          lambda a, c: (a * 31 + c) % 4294967296, 0::bigint) AS h FROM events)
+        SELECT user_id, CAST(CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END AS int) AS hash FROM h"""
+)
+def udf_hash_code_short(spark, sf_dir):
+    strings.register_hash_code(spark, "hash_code")
+    view = _view(_events(spark, sf_dir), "events")
+    return spark.sql(f"SELECT user_id, hash_code('sensor_' || user_id) AS hash FROM {view}")
+
+
 @query(f"SELECT user_id, min(item_id) AS x, max(item_id) AS y FROM {BEHAVIOR} GROUP BY user_id")
 def udaf_min_max(spark, sf_dir):
     return _behavior(spark, sf_dir).groupBy("user_id").agg(*user.min_max(F.col("item_id")))

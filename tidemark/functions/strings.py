@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,10 +57,38 @@ def _wrap32(value: Column) -> Column:
 
 
 def hash_code(text: Column, factor: int = 1) -> Column:
-    """32-bit string hash times a factor, both wrapped to int."""
+    """32-bit string hash times a factor, both wrapped to int. For ids and other short texts."""
     return _wrap32(_wrap32(_fold_units(text, HASH_MULTIPLIER, HASH_WORD)).cast("bigint") * factor)
 
 
+def hash_code_of_texts(factor: int = 1):
+    """:func:`hash_code` for long texts, as an Arrow function.
+
+    Spark interprets a fold character by character; here each text is one product of its UTF-16
+    units with powers of the multiplier, in wrapping 32-bit arithmetic.
+    """
+
+    @F.pandas_udf("int")
+    def hashes(texts: pd.Series) -> pd.Series:
+        units = [None if t is None else np.frombuffer(t.encode("utf-16-le"), "<u2") for t in texts]
+        longest = max((len(u) for u in units if u is not None), default=0)
+        powers = np.full(longest + 1, HASH_MULTIPLIER, "u4")
+        powers[:1] = 1
+        powers = np.multiply.accumulate(powers, dtype="u4")[::-1]
+        scale = factor % HASH_WORD
+
+        def one(u):
+            if u is None:
+                return None
+            total = (u.astype("u4") * powers[len(powers) - len(u):]).sum(dtype="u4")
+            low = int(total) * scale % HASH_WORD
+            return low - HASH_WORD if low >= HASH_WORD // 2 else low
+
+        return pd.Series([one(u) for u in units], dtype="Int32")
+
+    return hashes
+
+
 def visitor_bucket(visitor: Column) -> Column:
     """Bucket of a visitor in the bit array: the low bits of the hash of its decimal id."""
     return _fold_units(visitor.cast("string"), BUCKET_MULTIPLIER, BUCKETS).cast("int")

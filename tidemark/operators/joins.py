@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.plans.durations import from_position, micros, position
-from tidemark.plans.ordered import HotKeys, Ordered, latest, running_max, upcoming
-from tidemark.plans.ranges import range_join
+from tidemark.plans.ordered import HotKeys, Ordered, latest, running_max
+from tidemark.plans.ranges import left_bucket, range_join, right_buckets
 
 
 def interval_join(
@@ -125,52 +125,46 @@ def reconcile(
     order_ts: str,
     pay_ts: str,
     patience: str | int = "5 seconds",
-    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Orders against payments: ``matched`` pairs, ``unmatched_order`` and ``unmatched_pay``.
 
-    Two records of a key match when they are at most ``patience`` apart. A first pass over both
-    inputs, ordered by time, finds the nearest partner of each record on either side; records
-    without one are done, and only the others are joined.
+    Two records of a key match when they are at most ``patience`` apart. One full outer join on the
+    key and a time bucket. An order is in one bucket with all its possible payments; a payment near
+    a bucket edge has a copy in the next one too, and is unmatched only if every copy is, which the
+    last aggregation counts.
     """
     wait = micros(patience)
-    sides = orders.select(key, position(orders, order_ts).alias("_at"), F.lit(1).alias("_side")).unionByName(
-        pays.select(key, position(pays, pay_ts).alias("_at"), F.lit(2).alias("_side"))
+    order_type, pay_type = orders.schema[order_ts].dataType, pays.schema[pay_ts].dataType
+    left = orders.select(key, position(orders, order_ts).alias("_order_at")).withColumn(
+        "_bucket", left_bucket(F.col("_order_at"), -wait, wait)
+    )
+    right = (
+        pays.select(F.col(key).alias("_key"), position(pays, pay_ts).alias("_pay_at"))
+        .withColumn("_buckets", right_buckets(F.col("_pay_at"), -wait, wait))
+        .select("_key", "_pay_at", F.size("_buckets").alias("_copies"), F.posexplode("_buckets").alias("_copy", "_in"))
     )
-    at_order = F.when(F.col("_side") == 1, F.col("_at"))
-    at_pay = F.when(F.col("_side") == 2, F.col("_at"))
-    near = Ordered(sides, [key], ["_at", "_side"], hot).running(
-        _order_before=latest(at_order),
-        _pay_before=latest(at_pay),
-        _order_after=upcoming(at_order),
-        _pay_after=upcoming(at_pay),
+    near = (F.col("_pay_at") - F.col("_order_at")).between(-wait, wait)
+    joined = left.join(
+        right, (F.col(key) == F.col("_key")) & (F.col("_bucket") == F.col("_in")) & near, "full_outer"
     )
-    is_order = F.col("_side") == 1
-    before = F.when(is_order, F.col("_pay_before")).otherwise(F.col("_order_before"))
-    after = F.when(is_order, F.col("_pay_after")).otherwise(F.col("_order_after"))
-    has_partner = F.coalesce(F.col("_at") - before <= wait, F.lit(False)) | F.coalesce(
-        after - F.col("_at") <= wait, F.lit(False)
+    output = (
+        F.when(F.col("_pay_at").isNull(), "unmatched_order")
+        .when(F.col("_order_at").isNull(), "unmatched_pay")
+        .otherwise("matched")
     )
-    judged = near.rows().select(key, "_at", "_side", has_partner.alias("_has"))
-    alone = judged.filter(~F.col("_has")).select(
-        key,
-        F.when(F.col("_side") == 1, F.col("_at")).alias("_order_at"),
-        F.when(F.col("_side") == 2, F.col("_at")).alias("_pay_at"),
-        F.when(F.col("_side") == 1, "unmatched_order").otherwise("unmatched_pay").alias("output"),
+    counted = (
+        joined.select(F.coalesce(key, "_key").alias(key), "_order_at", "_pay_at", "_copies", "_copy", output.alias("output"))
+        .groupBy(key, "_order_at", "_pay_at", "_copies", "output")
+        .agg(F.count(F.lit(1)).alias("_n"), F.count(F.when(F.col("_copy") == 0, True)).alias("_rows"))
     )
-    paired = judged.filter("_has")
-    pairs = range_join(
-        paired.filter("_side = 1").select(key, F.col("_at").alias("_order_at")),
-        paired.filter("_side = 2").select(key, F.col("_at").alias("_pay_at")),
-        [key],
-        "_order_at",
-        "_pay_at",
-        -wait,
-        wait,
-    ).withColumn("output", F.lit("matched"))
-    return alone.unionByName(pairs).select(
-        key,
-        from_position(F.col("_order_at"), orders.schema[order_ts].dataType).alias("order_at"),
-        from_position(F.col("_pay_at"), pays.schema[pay_ts].dataType).alias("pay_at"),
-        "output",
+    alone = F.when(F.col("_n") == F.col("_rows") * F.col("_copies"), F.col("_rows"))
+    times = F.when(F.col("output") == "unmatched_pay", alone).otherwise(F.col("_n"))
+    return (
+        counted.withColumn("_times", F.explode(F.when(times > 0, F.sequence(F.lit(1).cast("bigint"), times))))
+        .select(
+            key,
+            from_position(F.col("_order_at"), order_type).alias("order_at"),
+            from_position(F.col("_pay_at"), pay_type).alias("pay_at"),
+            "output",
+        )
     )

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.plans.durations import floor_to, from_position, micros, position
-from tidemark.plans.ordered import HotKeys, Ordered, running_count, running_max
+from tidemark.plans.ordered import HotKeys, Ordered, next_row, running_count, running_max
 
 
 def _with_watermark(df, arrival, ts, delay, hot, inclusive=False) -> DataFrame:
@@ -81,20 +81,23 @@ def updating_windows(
     """
     kind = df.schema[ts].dataType
     tie = arrival[-1]
-    rows = _with_watermark(df, arrival, ts, delay, hot)
-    end = floor_to(F.col("_at"), micros(size)) + micros(size)
+    end = floor_to(position(df, ts), micros(size)) + micros(size)
+    df = df.withColumn("_end", end)
     on_time = F.col("_wm").isNull() | (F.col("_end") > F.col("_wm"))
     counted = on_time | (F.col("_end") > F.col("_wm") - micros(lateness))
-    rows = rows.withColumn("_end", end).withColumn("_on_time", on_time).filter(counted)
-    counts = Ordered(rows, [*keys, "_end"], arrival, hot).running(_n=running_count()).rows()
-    first = counts.filter("_on_time").groupBy(*keys, "_end").agg(F.max("_n").alias("count"))
-    firsts = first.select(
-        *keys, "_end", F.lit(None).cast("bigint").alias("fired_by"), F.lit(False).alias("is_update"), "count"
-    )
-    updates = counts.filter(~F.col("_on_time")).select(
-        *keys, "_end", F.col(tie).alias("fired_by"), (F.col("_n") > 1).alias("is_update"), F.col("_n").alias("count")
+    rows = _with_watermark(df, arrival, ts, delay, hot).withColumn("_on_time", on_time).filter(counted)
+    # The watermark only rises, so the on-time records of a window come before its late ones.
+    counts = (
+        Ordered(rows, [*keys, "_end"], arrival, hot, sizes_from=df)
+        .running(_n=running_count(), _next=next_row(F.col("_on_time")))
+        .rows()
     )
-    fired = firsts.unionByName(updates)
-    return fired.select(
-        *keys, from_position(F.col("_end"), kind).alias("window_end"), "fired_by", "is_update", "count"
+    late = ~F.col("_on_time")
+    fires = late | ~F.coalesce(F.col("_next"), F.lit(False))
+    return counts.filter(fires).select(
+        *keys,
+        from_position(F.col("_end"), kind).alias("window_end"),
+        F.when(late, F.col(tie)).alias("fired_by"),
+        (late & (F.col("_n") > 1)).alias("is_update"),
+        F.col("_n").alias("count"),
     )

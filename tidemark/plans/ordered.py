@@ -100,7 +100,9 @@ def next_row(value: Column) -> Running:
 class Ordered:
     """Rows of ``df`` per key, ordered; an empty key list means one order over all rows.
 
-    ``min_step`` is the least length of a piece, in units of the leading order column.
+    ``min_step`` is the least length of a piece, in units of the leading order column. Key sizes
+    are counted on ``sizes_from`` if given: a frame that is cheaper to compute and has the same
+    keys and order column, and at least the same rows.
     """
 
     def __init__(
@@ -110,6 +112,7 @@ class Ordered:
         order: Sequence[str],
         hot: HotKeys | None = None,
         min_step: int = 1,
+        sizes_from: DataFrame | None = None,
     ):
         hot = hot or HotKeys()
         self.keys = list(keys) or [ALL]
@@ -118,7 +121,8 @@ class Ordered:
             df = df.withColumn(ALL, F.lit(0))
         pos = position(df, self.order[0])
         found = (
-            df.groupBy(*self.keys)
+            (df if sizes_from is None else sizes_from)
+            .groupBy(*self.keys)
             .agg(F.count(F.lit(1)).alias("_n"), F.min(pos).alias("_lo"), F.max(pos).alias("_hi"))
             .filter(F.col("_n") > hot.hot_rows)
             .orderBy(F.col("_n").desc(), *self.keys)
