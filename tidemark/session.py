@@ -20,6 +20,8 @@ def build_session(name: str = "tidemark", master: str | None = None, **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # Python call sites for error messages cost several round trips per column expression.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         STATE_PROVIDER: ROCKSDB,
         **conf,
     }

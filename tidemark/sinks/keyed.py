@@ -32,15 +32,21 @@ def write_hash(rows: DataFrame, put: Callable[[Iterator[Row]], None]) -> None:
     rows.foreachPartition(put)
 
 
-def merge_statement(target: str, staged: str, keys: Sequence[str], values: Sequence[str]) -> str:
-    """One MERGE: update the rows whose key is there, insert the others."""
-    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
-    sets = ", ".join(f"t.{v} = s.{v}" for v in values)
+def merge_statement(
+    target: str, staged: str, keys: Sequence[str], values: Sequence[str], quote: str = '"'
+) -> str:
+    """One MERGE: update the rows whose key is there, insert the others.
+
+    The staged table's columns are quoted, as Spark's JDBC writer creates them.
+    """
     names = [*keys, *values]
+    of = {n: f"s.{quote}{n}{quote}" for n in names}
+    on = " AND ".join(f"t.{k} = {of[k]}" for k in keys)
+    sets = ", ".join(f"t.{v} = {of[v]}" for v in values)
     return (
         f"MERGE INTO {target} t USING {staged} s ON {on} "
         f"WHEN MATCHED THEN UPDATE SET {sets} "
-        f"WHEN NOT MATCHED THEN INSERT ({', '.join(names)}) VALUES ({', '.join('s.' + n for n in names)})"
+        f"WHEN NOT MATCHED THEN INSERT ({', '.join(names)}) VALUES ({', '.join(of.values())})"
     )
 
 
