@@ -1,10 +1,15 @@
 """Sliding windows by panes.
 
 ``F.window`` with a slide turns each row into size / slide rows before it aggregates. Here rows
-are first reduced to panes one slide wide (map-side, so a hot key is small before it moves), panes
-are shuffled by (key, block of windows), and only then spread over the windows they belong to and
-merged, inside the block. A block is a run of ``BLOCK_SIZES`` window lengths, so one key over a
-long time range is still split over many tasks; a pane near a block edge goes to two blocks.
+are first reduced to panes one slide wide (map-side, so a hot key is small before it moves), and
+panes are shuffled by (key, block of windows). A block is a run of ``BLOCK_SIZES`` window lengths,
+so one key over a long time range is still split over many tasks; a pane near a block edge goes to
+two blocks. Inside a block:
+
+* counts and sums of integers can be taken back, so a pane is two changes: it enters at the first
+  window that holds it and leaves after the last. A running sum of the changes gives the value of
+  each stretch of windows, and a row is made only for each window of the result;
+* other aggregates spread each pane over the windows it is in, and merge.
 """
 
 from __future__ import annotations
@@ -12,8 +17,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.plans.durations import floor_to, from_position, micros, position
 
@@ -69,8 +75,11 @@ def sliding(
     kind = df.schema[ts].dataType
     block = BLOCK_SIZES * size
     pane, first, last = F.col("_pane"), F.col("_first"), F.col("_last")
+    sums = [n for n, a in aggs.items() if a.kind == "sum"]
     panes = df.groupBy(*keys, floor_to(position(df, ts), slide).alias("_pane")).agg(
-        *[a.per_pane().alias(f"_{n}") for n, a in aggs.items()]
+        F.count(F.lit(1)).alias("_rows"),
+        *[a.per_pane().alias(f"_{n}") for n, a in aggs.items()],
+        *[F.count(aggs[n].value).alias(f"_has_{n}") for n in sums],
     )
     spread = (
         panes.withColumns({"_first": floor_to(pane - size + slide, block), "_last": floor_to(pane, block)})
@@ -78,22 +87,64 @@ def sliding(
         .drop("_first", "_last")
     )
     spread = before_fan_out(spread, *keys, "_block")
+    taken_back = all(
+        a.kind == "count" or a.kind == "sum" and isinstance(spread.schema[f"_{n}"].dataType, T.IntegralType)
+        for n, a in aggs.items()
+    )
+    in_block = _by_changes if taken_back else _by_merging
+    return in_block(spread, list(keys), size, slide, block, aggs).select(
+        *keys,
+        from_position(F.col("_start"), kind).alias("window_start"),
+        from_position(F.col("_start") + size, kind).alias("window_end"),
+        *aggs,
+    )
+
+
+def _by_merging(spread, keys, size, slide, block, aggs) -> DataFrame:
     starts = F.sequence(
-        F.greatest(pane - size + slide, F.col("_block")),
-        F.least(pane, F.col("_block") + block - slide),
+        F.greatest(F.col("_pane") - size + slide, F.col("_block")),
+        F.least(F.col("_pane"), F.col("_block") + block - slide),
         F.lit(slide).cast("bigint"),
     )
     return (
         spread.withColumn("_start", F.explode(starts))
         .groupBy(*keys, "_block", "_start")
         .agg(*[a.merged(F.col(f"_{n}")).alias(n) for n, a in aggs.items()])
-        .select(
-            *keys,
-            from_position(F.col("_start"), kind).alias("window_start"),
-            from_position(F.col("_start") + size, kind).alias("window_end"),
-            *aggs,
+    )
+
+
+def _by_changes(spread, keys, size, slide, block, aggs) -> DataFrame:
+    parts = ["_rows", *[f"_{n}" for n in aggs], *[f"_has_{n}" for n, a in aggs.items() if a.kind == "sum"]]
+    enters = F.greatest(F.col("_pane") - size + slide, F.col("_block"))
+    leaves = F.col("_pane") + slide
+    stop = F.col("_block") + block
+    changes = (
+        spread.withColumn(
+            "_change",
+            F.explode(
+                F.array(
+                    F.struct(enters.alias("at"), *[F.col(p).alias(p) for p in parts]),
+                    F.struct(leaves.alias("at"), *[(-F.col(p)).alias(p) for p in parts]),
+                )
+            ),
         )
+        .select(*keys, "_block", "_change.*")
+        .filter(F.col("at") < stop)
+        .groupBy(*keys, "_block", "at")
+        .agg(*[F.sum(p).alias(p) for p in parts])
     )
+    # At most two changes per pane of a block: these windows are small whatever the key.
+    along = Window.partitionBy(*keys, "_block").orderBy("at")
+    so_far = along.rowsBetween(Window.unboundedPreceding, 0)
+    stretches = changes.withColumns(
+        {**{p: F.sum(p).over(so_far) for p in parts}, "_next": F.coalesce(F.lead("at").over(along), stop)}
+    ).filter(F.col("_rows") > 0)
+    values = {
+        n: F.when(F.col(f"_has_{n}") > 0, F.col(f"_{n}")) if a.kind == "sum" else F.col(f"_{n}")
+        for n, a in aggs.items()
+    }
+    starts = F.sequence(F.col("at"), F.col("_next") - slide, F.lit(slide).cast("bigint"))
+    return stretches.select(*keys, *[c.alias(n) for n, c in values.items()], F.explode(starts).alias("_start"))
 
 
 def before_fan_out(df: DataFrame, *by: str) -> DataFrame:
