@@ -93,6 +93,6 @@ def test_routes_of_a_stream(spark, tmp_path):
 def test_console(spark, tmp_path):
     source = str(tmp_path / "in")
     spark.createDataFrame([(1,)], "v int").write.parquet(source)
-    query = streams.to_console(spark.readStream.schema("v int").parquet(source))
+    query = streams.to_console(spark.readStream.schema("v int").parquet(source), label="values")
     query.processAllAvailable()
     query.stop()

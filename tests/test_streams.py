@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark import model
 from tidemark.operators import joins, rank, rolling, stateful, visitors, windows
+from tidemark.operators.patterns import Pattern, match
 from tidemark.plans.durations import micros
 from tidemark.session import shared_dir
 from tidemark.streaming import folds, operators
@@ -125,6 +126,66 @@ def test_changelog(spark, events, feed, passed):
     assert rows(got.select("tie", "change", "is_add", "x", "y")) == rows(batch.select("event_id", "change", "is_add", "x", "y"))
 
 
+def test_event_timers(spark, events, feed, passed):
+    got = folded(spark, feed, folds.EventTimers(9_999_000))
+    batch = stateful.event_timers(events, "user_id", "ts").withColumn("fire_at", F.unix_micros("fire_at"))
+    batch = batch.filter(F.col("fire_at") <= passed)
+    assert rows(got.select("user_id", "fire_at")) == rows(batch.select("user_id", "fire_at"))
+
+
+def test_patterns(spark, events, feed, passed):
+    kind = F.col("event_type")
+    got = folded(spark, feed, folds.Sequence(["click", "purchase"], 12 * HOUR, timeouts=True), kind=kind)
+    pattern = Pattern.begin("create", kind == "click").next("pay", kind == "purchase").within("12 hours")
+    batch = match(events, pattern, "user_id", ["ts", "event_id"], timeouts=True)
+    created, paid = F.unix_micros("create.ts"), F.unix_micros("pay.ts")
+    # A verdict is out once the watermark has passed the payment, or the end of the wait.
+    known = F.when(F.col("output") == "matched", paid).otherwise(created + 12 * HOUR) <= passed
+    sure = F.col("times")[0] <= passed - 12 * HOUR
+    want = batch.filter(known).select("user_id", F.array_compact(F.array(created, paid)).alias("times"), "output")
+    assert rows(got.filter(sure)) == rows(want.filter(sure))
+
+    got = folded(spark, feed, folds.Repetition("error", 3), kind=kind)
+    batch = match(events, Pattern.begin("f", kind == "error").times(3), "user_id", ["ts", "event_id"])
+    times = F.array(*[F.unix_micros(f"f_{i}.ts") for i in (1, 2, 3)]).alias("times")
+    assert rows(got) == rows(batch.select("user_id", times).filter(F.col("times")[2] <= passed))
+
+
+def test_updating_counts(spark, sf, events, tmp_path):
+    raw = spark.readStream.schema(events.schema).parquet(_folder(events, str(tmp_path / "in")))
+    path = str(tmp_path / "out")
+    operators.updating_counts(
+        raw, ["user_id"], "ts", "1 day", "6 hours", "2 hours",
+        lambda batch, number: batch.write.mode("overwrite").parquet(f"{path}/batch={number}"), str(tmp_path / "c"),
+    ).awaitTermination()
+    n = F.count(F.lit(1)).alias("count")
+    last = spark.read.parquet(path).groupBy("user_id", "window_end").agg(F.max("count").alias("count"))
+    whole = windows.tumbling(events, ["user_id"], "ts", "1 day", n).select("user_id", "window_end", "count")
+    assert rows(last) == rows(whole)
+
+
+def _folder(events, path):
+    events.coalesce(1).write.parquet(path)
+    return path
+
+
+@pytest.mark.parametrize("size", [None, "1 hour"])
+def test_route_late(spark, events, feed, tmp_path, size):
+    sinks = {k: str(tmp_path / k) for k in ("main", "late")}
+    writers = {k: (lambda df, p=p: df.write.mode("append").parquet(p)) for k, p in sinks.items()}
+    stream = feed()
+    operators.route_late(stream, "ts", "3 hours", writers, str(tmp_path / "tops"), str(tmp_path / "c"), size).awaitTermination()
+    part = F.ntile(FILES).over(Window.orderBy("arrival"))
+    parts = events.withColumn("at", F.unix_micros("ts")).withColumn("part", part)
+    tops = {r.part: r.top for r in parts.groupBy("part").agg(F.max("at").alias("top")).collect()}
+    marks = F.create_map(*[F.lit(v) for p in range(2, FILES + 1) for v in (p, max(tops[q] for q in range(1, p)) - 3 * HOUR)])
+    edge = F.col("at") if size is None else F.floor(F.col("at") / HOUR) * HOUR + HOUR - 1
+    late = parts.filter(edge < marks[F.col("part")])
+    assert late.count() > 0
+    assert rows(spark.read.parquet(sinks["late"]).select("event_id")) == rows(late.select("event_id"))
+    assert spark.read.parquet(sinks["main"]).count() == events.count() - late.count()
+
+
 def test_interval_join(spark, events, feed):
     clicks = feed("event_type = 'click'").select("user_id", F.col("ts").alias("a"), F.col("event_id").alias("x"))
     buys = feed("event_type = 'purchase'").select("user_id", F.col("ts").alias("b"), F.col("event_id").alias("y"))

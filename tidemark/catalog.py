@@ -902,8 +902,9 @@ PASSED = "(SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 HOUR FROM {ev
 SEEN = PASSED.format(events="events")
 
 
-def _stream(spark, sf_dir, name="events", ts="ts"):
-    return operators.with_event_time(model.table_stream(spark, sf_dir, name), ts, DELAY)
+def _stream(spark, sf_dir, name="events", ts="ts", where="true"):
+    """A table as a stream; the watermark follows the rows ``where`` keeps."""
+    return operators.with_event_time(model.table_stream(spark, sf_dir, name).filter(where), ts, DELAY)
 
 
 def _cut(name: str, condition: str) -> str:
@@ -925,14 +926,14 @@ def tumble_count_wm(spark, sf_dir):
 
 @query(_cut("uv_exact", f"window_end <= {PASSED.format(events=VIEWS)}"))
 def stream_uv_exact(spark, sf_dir):
-    views = _stream(spark, sf_dir).filter("event_type = 'view'")
+    views = _stream(spark, sf_dir, where="event_type = 'view'")
     counts = operators.unique_visitors(views, "user_id", "ts", "1 hour")
     return _ntz(operators.finished(spark, counts, "uv"), "window_end").drop("window_start")
 
 
 @query(_cut("top_items", f"window_end <= {PASSED.format(events=VIEWS)}"))
 def stream_top_items(spark, sf_dir):
-    views = model.user_behavior(_stream(spark, sf_dir)).filter("behavior = 'view'")
+    views = model.user_behavior(_stream(spark, sf_dir, where="event_type = 'view'"))
     path = shared_dir(spark, "top-items")
     operators.rank_batches(
         views, "item_id", "ts", "1 hour", "5 minutes", 3,
@@ -1014,3 +1015,35 @@ def stream_switch_filter(spark, sf_dir):
     )
     out = operators.finished(spark, found, "switch")
     return out.select(F.col("tie").alias("event_id"), "user_id", "value")
+
+
+@query(
+    f"""SELECT user_id, ts AS at, ts + INTERVAL 9999 MILLISECOND AS fire_at FROM events
+        WHERE ts + INTERVAL 9999 MILLISECOND <= {SEEN} GROUP BY user_id, ts"""
+)
+def stream_event_timer(spark, sf_dir):
+    return _times(_folded(spark, sf_dir, folds.EventTimers(9_999_000), "timers"), "at", "fire_at")
+
+
+@query(
+    _cut(
+        "cep_order_timeout",
+        "CASE WHEN output = 'matched' THEN paid_at ELSE created_at + INTERVAL 12 HOUR END <= "
+        + PASSED.format(events="events WHERE event_type IN ('click', 'purchase')"),
+    )
+)
+def stream_cep_order_timeout(spark, sf_dir):
+    rows = _stream(spark, sf_dir, where="event_type IN ('click', 'purchase')")
+    fold = folds.Sequence(["click", "purchase"], 12 * HOUR, timeouts=True)
+    found = processors.run_fold(rows, fold, "user_id", "ts", "event_id", kind=F.col("event_type"))
+    out = operators.finished(spark, found, "cep").withColumns(
+        {"created_at": F.get("times", F.lit(0)), "paid_at": F.get("times", F.lit(1))}
+    )
+    return _times(out, "created_at", "paid_at").drop("times")
+
+
+@query(_cut("cep_times3", f"t3 <= {SEEN}"))
+def stream_cep_times3(spark, sf_dir):
+    found = _folded(spark, sf_dir, folds.Repetition("error", 3), "cep-times", kind=F.col("event_type"))
+    out = found.withColumns({f"t{i + 1}": F.get("times", F.lit(i)) for i in range(3)})
+    return _times(out, "t1", "t2", "t3").drop("times")

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 
-def to_console(df: DataFrame, mode: str = "append") -> StreamingQuery:
-    """Print each new row."""
-    return df.writeStream.format("console").outputMode(mode).option("truncate", "false").start()
+def to_console(df: DataFrame, mode: str = "append", label: str | None = None) -> StreamingQuery:
+    """Print each new row, behind a label if one is given."""
+    shown = df if label is None else df.select(F.lit(label).alias("label"), "*")
+    return shown.writeStream.format("console").outputMode(mode).option("truncate", "false").start()
 
 
 def to_table(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

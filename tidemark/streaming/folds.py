@@ -222,3 +222,79 @@ class SwitchFilter(Fold):
 
     def timer(self, state, at):
         return self.start, []
+
+
+class EventTimers(Fold):
+    """One timer per time, ``delay`` after it, however many rows asked for it."""
+
+    state = "alarms array<bigint>"
+    output = "at bigint, fire_at bigint"
+    start = ([],)
+
+    def __init__(self, delay: int):
+        self.delay = delay
+
+    def row(self, state, move):
+        alarm = move.at + self.delay
+        return (state if alarm in state[0] else ([*state[0], alarm],)), []
+
+    def due(self, state):
+        return min(state[0], default=None)
+
+    def timer(self, state, at):
+        return ([a for a in state[0] if a != at],), [(at - self.delay, at)]
+
+
+class Sequence(Fold):
+    """Kinds that follow each other directly; a begun match that comes too late is a timeout."""
+
+    state = "begun array<array<bigint>>"
+    output = "times array<bigint>, output string"
+    start = ([],)
+
+    def __init__(self, kinds: list[str], within: int | None = None, timeouts: bool = False):
+        self.kinds, self.within, self.timeouts = kinds, within, timeouts
+
+    def row(self, state, move):
+        begun, out = [], []
+        for times in state[0]:
+            if self.within is not None and move.at - times[0] >= self.within:
+                out += self._timeout(times)
+            elif move.kind == self.kinds[len(times)]:
+                begun.append([*times, move.at])
+        if move.kind == self.kinds[0]:
+            begun.append([move.at])
+        whole = [t for t in begun if len(t) == len(self.kinds)]
+        return ([t for t in begun if len(t) < len(self.kinds)],), [*out, *((t, "matched") for t in whole)]
+
+    def due(self, state):
+        if self.within is None:
+            return None
+        return min((t[0] + self.within for t in state[0]), default=None)
+
+    def timer(self, state, at):
+        late = [t for t in state[0] if t[0] + self.within <= at]
+        out = [found for times in late for found in self._timeout(times)]
+        return ([t for t in state[0] if t not in late],), out
+
+    def _timeout(self, times):
+        return [(list(times), "timeout")] if self.timeouts else []
+
+
+class Repetition(Fold):
+    """``n`` events of one kind, whatever lies between; one match from every start."""
+
+    state = "times array<bigint>"
+    output = "times array<bigint>"
+    start = ([],)
+
+    def __init__(self, kind: str, n: int):
+        self.kind, self.n = kind, n
+
+    def row(self, state, move):
+        if move.kind != self.kind:
+            return state, []
+        times = [*state[0], move.at]
+        if len(times) < self.n:
+            return (times,), []
+        return (times[1:],), [(times,)]

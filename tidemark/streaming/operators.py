@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,10 +10,10 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.operators.rank import top_n
 from tidemark.operators.windows import tumbling
-from tidemark.plans.durations import interval, micros
+from tidemark.plans.durations import floor_to, interval, micros, position
 from tidemark.plans.panes import count_rows, sliding_plain
 from tidemark.session import shared_dir
-from tidemark.sinks.streams import to_table
+from tidemark.sinks.streams import route, to_table
 
 
 def with_event_time(df: DataFrame, ts: str, delay: str = "0 seconds") -> DataFrame:
@@ -91,6 +91,70 @@ def early_counts(df: DataFrame, keys: Sequence[str], ts: str, size: str, every:
     return writer.option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
 
 
+def updating_counts(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    size: str,
+    delay: str,
+    lateness: str,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+) -> StreamingQuery:
+    """Window counts that are sent again when records up to ``lateness`` late change them.
+
+    ``df`` has event times and no watermark yet: the state is kept for both durations.
+    """
+    kept = df.withWatermark(ts, f"{micros(delay) + micros(lateness)} microseconds")
+    return (
+        tumble_count(kept, keys, ts, size)
+        .writeStream.outputMode("update")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def route_late(
+    df: DataFrame,
+    ts: str,
+    delay: str,
+    sinks: Mapping[str, Callable[[DataFrame], None]],
+    tops: str,
+    checkpoint: str,
+    size: str | None = None,
+) -> StreamingQuery:
+    """Send records to the ``main`` or the ``late`` sink before any stateful step could drop them.
+
+    The watermark of a batch is the largest event time of the batches before it minus ``delay``,
+    as Spark's own. A record is late when it is older or, with ``size``, when its window has
+    closed. The largest time so far is one row per batch under ``tops``, a folder all executors
+    reach, so a batch that is tried again is split the same way.
+    """
+
+    def split(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        at = position(batch, ts)
+        before = None
+        if number:
+            before = spark.read.parquet(f"{tops}/batch={number - 1}").first()["top"]
+        top = batch.agg(F.greatest(F.max(at), F.lit(before).cast("bigint")).alias("top"))
+        top.write.mode("overwrite").parquet(f"{tops}/batch={number}")
+        late = F.lit(False)
+        if before is not None:
+            mark = before - micros(delay)
+            late = at < mark if size is None else floor_to(at, micros(size)) + micros(size) <= mark
+        route(batch.withColumn("output", F.when(late, "late").otherwise("main")), sinks)
+
+    return (
+        df.writeStream.foreachBatch(split)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def finished(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
     """Run a stream over what its source holds now and read the table it wrote."""
     path = shared_dir(spark, label)
