@@ -118,7 +118,8 @@ class Ordered:
         self.keys = list(keys) or [ALL]
         self.order = list(order)
         if not keys:
-            df = df.withColumn(ALL, F.lit(0))
+            # The same for all rows, but not a literal: the joins below stay hash joins.
+            df = df.withColumn(ALL, F.col(self.order[0]).isNull())
         pos = position(df, self.order[0])
         found = (
             (df if sizes_from is None else sizes_from)

@@ -37,6 +37,21 @@ def unique_visitors(df: DataFrame, user: str, ts: str, size: str) -> DataFrame:
     return counts.select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), "uv")
 
 
+def sliding_counts(df: DataFrame, keys: Sequence[str], ts: str, size: str, slide: str) -> DataFrame:
+    """Counts per key and sliding window, by panes if the slide divides the size.
+
+    Rows are counted per pane, and closed panes per window: a row touches one state entry, not one
+    for each window it is in.
+    """
+    long, step = micros(size), micros(slide)
+    if long % step:
+        return sliding_plain(df, keys, ts, size, slide, count=count_rows())
+    panes = df.groupBy(*keys, F.window(ts, f"{step} microseconds").alias("_pane")).agg(F.count(F.lit(1)).alias("_n"))
+    window = F.window(F.window_time("_pane"), f"{long} microseconds", f"{step} microseconds")
+    counts = panes.groupBy(*keys, window.alias("_w")).agg(F.sum("_n").alias("count"))
+    return counts.select(*keys, F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), "count")
+
+
 def rank_batches(
     df: DataFrame, item: str, ts: str, size: str, slide: str, n: int, write: Callable[[DataFrame, int], None], checkpoint: str
 ) -> StreamingQuery:
@@ -45,7 +60,7 @@ def rank_batches(
     In append mode all counts of a window leave the state in the same batch, so ranking inside the
     batch is exact, and no list of all items of a window is ever built.
     """
-    counts = sliding_plain(df, [item], ts, size, slide, count=count_rows())
+    counts = sliding_counts(df, [item], ts, size, slide)
 
     def ranked(batch: DataFrame, number: int) -> None:
         order = [F.col("count").desc(), F.col(item).asc()]
