@@ -20,12 +20,17 @@ def java_split(text: Column, pattern: str) -> Column:
 
     An empty text gives one empty string; a text of separators only gives an empty array.
     """
-    parts = F.split(text, pattern)
+    return without_trailing_empty(F.split(text, pattern))
+
+
+def without_trailing_empty(parts: Column) -> Column:
+    """The second half of :func:`java_split`, for parts that are a column already.
+
+    Used more than once here, so a split in a select of its own is computed only once.
+    """
     last = F.array_max(F.transform(parts, lambda x, i: F.when(x != "", i + 1).otherwise(0)))
-    return (
-        F.when(text == "", F.array(F.lit("")))
-        .when(F.element_at(parts, -1) != "", parts)
-        .otherwise(F.slice(parts, F.lit(1), F.coalesce(last, F.lit(0))))
+    return F.when((F.size(parts) == 1) | (F.element_at(parts, -1) != ""), parts).otherwise(
+        F.slice(parts, F.lit(1), F.coalesce(last, F.lit(0)))
     )
 
 

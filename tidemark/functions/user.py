@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.strings import java_split, utf16_length
+from tidemark.functions.strings import utf16_length, without_trailing_empty
 from tidemark.operators.rank import top_n
 
 # Fixed value: what the second place of a top-2 shows while a key has only one value.
@@ -20,9 +20,10 @@ def split_words(df: DataFrame, text: str, pattern: str, keep_empty: bool) -> Dat
 
     ``keep_empty`` keeps a row with NULLs when a text gives no words, as a left lateral join.
     """
-    parts = java_split(F.col(text), pattern)
+    parts = df.withColumn("_parts", F.split(text, pattern))
     explode = F.explode_outer if keep_empty else F.explode
-    return df.withColumn("word", explode(parts)).withColumn("length", utf16_length(F.col("word")))
+    words = parts.withColumn("word", explode(without_trailing_empty(F.col("_parts")))).drop("_parts")
+    return words.withColumn("length", utf16_length(F.col("word")))
 
 
 class SplitWords:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.strings import java_split
+from tidemark.functions.strings import without_trailing_empty
 
 
 def project(df: DataFrame, *columns: str) -> DataFrame:
@@ -40,7 +40,8 @@ def repeat_rows(df: DataFrame, times: Column, name: str = "copy") -> DataFrame:
 def tokenize(df: DataFrame, text: str, pattern: str, word: str = "word") -> DataFrame:
     """One row per word, with its position."""
     others = [c for c in df.columns if c != text]
-    return df.select(*others, F.posexplode(java_split(F.col(text), pattern)).alias("pos", word))
+    parts = df.select(*others, F.split(text, pattern).alias("_parts"))
+    return parts.select(*others, F.posexplode(without_trailing_empty(F.col("_parts"))).alias("pos", word))
 
 
 def label_parts(df: DataFrame, label: Column) -> DataFrame:
