@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -103,7 +102,7 @@ def pack(
     """
     capacity = (max_tokens, max_documents or max_tokens, max_cost or max_tokens**2)
 
-    def fill(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def fill(key, rows):
         rows = rows.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable")
         bins, offsets = best_fit(rows["length"].to_numpy(np.int64), capacity, weights, rule)
         return rows.drop(columns="_shard").assign(sequence_id=(int(key[0]) << 32) + bins, offset=offsets)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import binary, packing
+from tidemark.llm import ann, binary, packing, pq, simhash
 from tidemark.llm.common import table
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -25,6 +25,55 @@ def op10_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {"op1_best_fit_packing": op1_best_fit_packing, "op10_token_binary": op10_token_binary}
+def op2_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every vector whose id is divisible by 50."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
 
-ORACLES: dict[str, str] = {}
+
+def op3_product_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of a label linked by a cosine of 0.93 or more."""
+    return pq.near_duplicates(table(spark, sf_dir, "embeddings"), 0.93)
+
+
+def op9_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents linked by fingerprints that differ in three bits or fewer."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_rotated_codes": op2_rotated_codes,
+    "op3_product_quantisation": op3_product_quantisation,
+    "op9_simhash_bk_trees": op9_simhash_bk_trees,
+    "op10_token_binary": op10_token_binary,
+}
+
+#: Vectors that take part, with their norms, as rows of the SQL below.
+_UNIT = """
+    SELECT vec_id, label, embedding::DOUBLE[] AS e, sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))) AS norm
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0"""
+
+_COSINE = "list_sum(list_transform(range(1, len(a.e) + 1), lambda i: a.e[i] * b.e[i])) / (a.norm * b.norm)"
+
+ORACLES: dict[str, str] = {
+    "op2_rotated_codes": f"""
+        WITH v AS ({_UNIT}),
+        s AS (SELECT a.vec_id AS query_id, b.vec_id AS vec_id, {_COSINE} AS score
+              FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e))
+        SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
+        FROM s QUALIFY rank <= 5""",
+    "op3_product_quantisation": f"""
+        WITH RECURSIVE v AS ({_UNIT} AND label IS NOT NULL),
+        l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b
+              ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND {_COSINE} >= 0.93),
+        r AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+        c AS (SELECT x, min(y) AS component_id FROM r GROUP BY x),
+        n AS (SELECT x, count(*) AS n_links FROM l GROUP BY x)
+        SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM embeddings JOIN c ON c.x = vec_id LEFT JOIN n ON n.x = vec_id""",
+}
