@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, binary, packing, pq, simhash
+from tidemark.llm import ann, binary, packing, pq, simhash, suffixes
 from tidemark.llm.common import table
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -36,6 +36,11 @@ def op3_product_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq.near_duplicates(table(spark, sf_dir, "embeddings"), 0.93)
 
 
+def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the bytes of 400-byte strings that also start elsewhere."""
+    return suffixes.removal_digest(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents linked by fingerprints that differ in three bits or fewer."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=3)
@@ -46,6 +51,7 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_rotated_codes": op2_rotated_codes,
     "op3_product_quantisation": op3_product_quantisation,
+    "op7_suffix_repeats": op7_suffix_repeats,
     "op9_simhash_bk_trees": op9_simhash_bk_trees,
     "op10_token_binary": op10_token_binary,
 }
