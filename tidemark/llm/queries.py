@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, binary, packing, pq, simhash, suffixes
+from tidemark.llm import ann, binary, language, packing, pq, simhash, suffixes, toxicity
 from tidemark.llm.common import table
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -36,6 +36,28 @@ def op3_product_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq.near_duplicates(table(spark, sf_dir, "embeddings"), 0.93)
 
 
+def _remainder(divisor: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+def op6_language_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from two thirds of them."""
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs.filter(_remainder(3) != 1))
+    rows = docs.select("doc_id", "text", F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out"))
+    return language.predict(rows, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from the labels of three quarters of them."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(_remainder(4) != 2)
+    model = toxicity.train(docs, labels)
+    rows = docs.select("doc_id", "text", F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out"))
+    scored = toxicity.predict(rows, model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the bytes of 400-byte strings that also start elsewhere."""
     return suffixes.removal_digest(table(spark, sf_dir, "documents"))
@@ -51,6 +73,8 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_rotated_codes": op2_rotated_codes,
     "op3_product_quantisation": op3_product_quantisation,
+    "op6_language_kernel": op6_language_kernel,
+    "op8_toxicity": op8_toxicity,
     "op7_suffix_repeats": op7_suffix_repeats,
     "op9_simhash_bk_trees": op9_simhash_bk_trees,
     "op10_token_binary": op10_token_binary,
