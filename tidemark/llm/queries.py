@@ -6,10 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, binary, language, packing, pq, simhash, suffixes, toxicity
+from tidemark.llm import ann, binary, extract, language, packing, pieces, pq, simhash, suffixes, toxicity
 from tidemark.llm.common import table
 
-WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
+WORD_BPE, BYTE_BPE, PIECES = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +36,23 @@ def op3_product_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq.near_duplicates(table(spark, sf_dir, "embeddings"), 0.93)
 
 
+def op4_html_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
+def op5_piece_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by shortest paths and decoded again."""
+    path = public_tokenizers.path(PIECES)
+    rows = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), path), path)
+    return rows.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+        (F.col("decoded") == F.replace(F.col("text"), F.lit(pieces.MARK), F.lit(" "))).alias("round_trip"),
+    )
+
+
 def _remainder(divisor: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
 
@@ -73,6 +90,8 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_rotated_codes": op2_rotated_codes,
     "op3_product_quantisation": op3_product_quantisation,
+    "op4_html_field": op4_html_field,
+    "op5_piece_transducer": op5_piece_transducer,
     "op6_language_kernel": op6_language_kernel,
     "op8_toxicity": op8_toxicity,
     "op7_suffix_repeats": op7_suffix_repeats,
