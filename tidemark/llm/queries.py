@@ -86,7 +86,7 @@ def op9_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {
+QUERIES: dict = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_rotated_codes": op2_rotated_codes,
     "op3_product_quantisation": op3_product_quantisation,

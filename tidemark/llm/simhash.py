@@ -16,23 +16,34 @@ from tidemark.llm.components import components
 TREE_NODES = 4096
 
 
-def fingerprint(text: str, words: int = 3, seed: int = 42) -> int:
-    """64 bits: bit b is set if it is set in over half of the shingles' XXH64; zero without a word.
+def shingle_hashes(text: str, words: int = 3, seed: int = 42) -> np.ndarray:
+    """XXH64 of each shingle of ``words`` words joined by a space, repeats included.
 
-    A-Z are lower-cased, words are separated by ASCII white space and shingles joined by a space.
-    Fewer words than a shingle has give one shingle of them all; repeated shingles count each time.
+    A-Z are lower-cased and words are separated by ASCII white space. Fewer words than a shingle has
+    give one shingle of them all, no word gives none.
     """
     found = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: ASCII only
-    if not found:
-        return 0
     n = max(1, len(found) - words + 1)
     parts = [found[i : i + n] for i in range(min(words, len(found)))]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(x, seed) for x in map(b" ".join, zip(*parts, strict=True))], "<u8")
-    ones = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return np.array([digest(x, seed) for x in map(b" ".join, zip(*parts, strict=True))], "<u8")
+
+
+def _majority(hashes: np.ndarray) -> int:
+    if not len(hashes):
+        return 0
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 1 << 16):
+        part = hashes[at : at + (1 << 16)]
+        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str, words: int = 3, seed: int = 42) -> int:
+    """64 bits: bit b is set if it is set in over half of the shingles' hashes; zero without a word."""
+    return _majority(shingle_hashes(text, words, seed))
+
+
 def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
     """(doc_id, fp) of documents (doc_id, text), fp as a signed bigint; null text counts as empty."""
 
@@ -97,47 +108,142 @@ def shard_keys(fp: Column, radius: int, bands: int) -> Column:
 
 
 def near_pairs(classes: DataFrame, radius: int = 3, tree_nodes: int = TREE_NODES) -> DataFrame:
-    """Distinct pairs a < b of nodes whose fingerprints differ in at most ``radius`` bits.
+    """Links a < b that connect all nodes whose fingerprints differ in at most ``radius`` bits.
 
-    ``classes`` holds each fingerprint once: (node, fp). The shards are found by bands of bits, with
-    more bands the more fingerprints there are, so that a shard stays small. A shard of more than
-    ``tree_nodes`` fingerprints is dealt into several trees, and every piece of it is sent to every
-    tree, so the largest shard neither meets in one task nor loses a pair. The trees go to their
-    queries by the shuffle and not by one broadcast, because all of them together grow with the data.
+    ``classes`` holds each fingerprint once: (node, fp). Shards are found by bands of bits, with more
+    bands the more fingerprints there are, so that a shard stays small.
     """
     n, bands = classes.count(), radius + 1
     while bands < 2 * radius + 2 and n >> (64 * (bands - radius) // bands) > 1000:
         bands += 1
     keyed = classes.select("node", "fp", F.explode(shard_keys(F.col("fp"), radius, bands)).alias("s")).select("s.k", "s.v", "node", "fp")
+    return tree_links(dealt_to_trees(keyed, tree_nodes).withColumn("set", F.lit(None).cast("binary")), radius)
+
+
+def dealt_to_trees(keyed: DataFrame, tree_nodes: int) -> DataFrame:
+    """Members (k, v, node, ...) of shards of two or more, with the tree (i, j) that each builds or asks.
+
+    A shard of more than ``tree_nodes`` members is dealt into several trees, and every piece of it is
+    sent to every tree, so the largest shard neither meets in one task nor loses a pair. Trees go to
+    their queries by the shuffle and not by one broadcast, because all of them grow with the data.
+    """
     sizes = keyed.groupBy("k", "v").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("k").alias("k2"), F.col("v").alias("v2"), "n")
     pieces = F.ceil(F.col("n") / tree_nodes).cast("int")
-    dealt = keyed.join(sizes, (F.col("k") == F.col("k2")) & (F.col("v") == F.col("v2"))).withColumn("own", F.pmod(F.xxhash64("node"), pieces))
-    # A piece asks its own tree and those of later pieces; ``tree`` rows come before the others.
-    ask = F.transform(F.sequence(F.lit(0), pieces - 1), lambda j: F.struct(F.greatest(F.col("own"), j).alias("i"), F.least(F.col("own"), j).alias("j")))
-    dealt = dealt.withColumn("at", F.explode(ask)).select(
-        "k", "v", "at.i", "at.j", (F.col("own") != F.col("at.i")).alias("asks"), "node", "fp"
+    met = keyed.join(sizes, (F.col("k") == F.col("k2")) & (F.col("v") == F.col("v2"))).withColumn("own", F.pmod(F.xxhash64("node"), pieces))
+    # A piece builds the trees (own, j) of later pieces j and asks those of earlier ones.
+    ask = F.transform(F.sequence(F.lit(0), pieces - 1), lambda j: F.struct(F.least(F.col("own"), j).alias("i"), F.greatest(F.col("own"), j).alias("j")))
+    return met.withColumn("at", F.explode(ask)).select(
+        *keyed.columns, F.col("at.i").alias("i"), F.col("at.j").alias("j"), (F.col("own") != F.col("at.i")).alias("asks")
     )
+
+
+def _alike(a: bytes | None, b: bytes | None, similarity: float) -> bool:
+    """Whether two sets of shingle hashes have at least that Jaccard similarity."""
+    if similarity <= 0:
+        return True
+    x, y = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
+    if min(len(x), len(y)) < similarity * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both >= similarity * (len(x) + len(y) - both)
+
+
+def tree_links(members: DataFrame, radius: int, similarity: float = 0.0) -> DataFrame:
+    """Links a < b found in the trees of members (k, v, i, j, asks, node, fp, set).
+
+    Within a tree a link between nodes that earlier links connect is left out, so a tree gives fewer
+    links than it has members and the components stay the same. With a ``similarity`` a link also
+    needs that Jaccard similarity of the sets of shingle hashes.
+    """
     order = ["k", "v", "i", "j"]
 
     def search(batches):
-        group, tree = None, BKTree()
+        group, tree, above, sets = None, BKTree(), {}, {}
+
+        def top(x):
+            while above.get(x, x) != x:
+                above[x] = x = above.get(above[x], above[x])
+            return x
+
         for batch in batches:
             a, b = [], []
-            k, v, i, j, asks, nodes, fps = (c.to_pylist() for c in batch.columns)
-            for key, only_asks, node, fp in zip(zip(k, v, i, j, strict=True), asks, nodes, fps, strict=True):
+            for *key, asks, node, fp, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 fp &= (1 << 64) - 1
                 if key != group:
-                    group, tree = key, BKTree()
-                same = key[2] == key[3]
-                if only_asks or same:
+                    group, tree, above, sets = key, BKTree(), {}, {}
+                if asks or key[2] == key[3]:
                     for other in tree.within(fp, radius):
-                        a.append(min(node, other))
-                        b.append(max(node, other))
-                if not only_asks:
+                        mine, theirs = top(node), top(other)
+                        if mine != theirs and _alike(own, sets.get(other), similarity):
+                            above[mine] = theirs
+                            a.append(min(node, other))
+                            b.append(max(node, other))
+                if not asks:
                     tree.add(fp, node)
+                    sets[node] = own
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return dealt.repartition(*order).sortWithinPartitions(*order, "asks", "node").mapInArrow(search, "a bigint, b bigint").distinct()
+    rows = members.select(*order, "asks", "node", "fp", "set").repartition(*order).sortWithinPartitions(*order, "asks", "node")
+    return rows.mapInArrow(search, "a bigint, b bigint").distinct()
+
+
+BANDS, ROWS = 8, 3
+
+
+def _sketches(docs: DataFrame, words: int, seed: int) -> DataFrame:
+    """(doc_id, t, fp, keys, set): fingerprint, band keys of the shingles' smallest hashes, and the shingle hashes."""
+    factors = np.random.default_rng(seed).integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
+    weights = np.array([1, 0x9E3779B1, 0x85EBCA77], np.uint64)[:ROWS]
+
+    def run(batches):
+        for batch in batches:
+            fps, keys, sets = [], [], []
+            for text in batch.column(2).to_pylist():
+                hashes = shingle_hashes(text or "", words, seed)
+                fps.append(_majority(hashes))
+                own = np.unique((hashes ^ hashes >> np.uint64(32)).astype(np.uint32)) if len(hashes) else np.zeros(1, np.uint32)
+                mixed = own ^ own >> np.uint32(15)
+                least = np.array([(mixed * f ^ (mixed * f) >> np.uint32(13)).min() for f in factors], np.uint64).reshape(BANDS, ROWS)
+                keys.append((least * weights).sum(1, dtype=np.uint64).view(np.int64).tolist())
+                sets.append(own.astype("<u4").tobytes())
+            columns = [batch.column(0), batch.column(1), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64())), pa.array(sets, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "t", "fp", "keys", "set"])
+
+    rows = docs.select(F.col("doc_id").cast("bigint"), F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("t"), "text")
+    return rows.mapInArrow(run, "doc_id bigint, t string, fp bigint, keys array<bigint>, set binary")
+
+
+def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 24, seed: int = 42) -> DataFrame:
+    """(t, component_id) of each distinct text (t: its md5): groups by Jaccard similarity of word shingles.
+
+    Fingerprints of texts as similar as 0.8 can differ in over 20 bits, which bands of bits can't
+    shard. Here the shards are bands of smallest shingle hashes, 8 bands of 3, which two texts of
+    similarity 0.8 miss with a probability of 0.003; each shard has its tree, asked with a radius of
+    24 bits, and what it finds is checked against the shingles themselves. Null text counts as empty;
+    copies share their text's row; rows with a null doc_id take no part.
+    """
+    rows = staged(_sketches(docs.filter("doc_id IS NOT NULL"), words, seed), "sketches")
+    classes = staged(rows.groupBy("t").agg(F.min("doc_id").alias("node")), "text-classes")
+    first = classes.select(F.col("t").alias("t2"), "node")
+    own = rows.join(first, (F.col("t") == F.col("t2")) & (F.col("doc_id") == F.col("node"))).drop("t2", "doc_id")
+    own = own.select("node", "keys").dropDuplicates(["node"])
+    keyed = own.select("node", F.posexplode("keys").alias("k", "v")).select("k", "v", "node")
+    members = staged(dealt_to_trees(keyed, TREE_NODES), "shard-members")
+    needed = members.select("node").distinct().withColumnRenamed("node", "node2")
+    sets = rows.join(needed, F.col("doc_id") == F.col("node2")).select("node2", "fp", "set").dropDuplicates(["node2"])
+    met = members.join(staged(sets, "shingle-sets"), F.col("node") == F.col("node2"))
+    found = components(tree_links(met, radius, similarity))
+    return classes.join(found, "node", "left").select("t", F.coalesce("component", "node").alias("component_id"))
+
+
+def first_of_each_group(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The row of ``docs`` (doc_id, text, ...) with the smallest doc_id of each group of :func:`similar_groups`.
+
+    Of rows repeated under that doc_id all stay; rows with a null doc_id stay, as nothing names them.
+    """
+    groups = staged(similar_groups(docs, words, similarity), "text-groups").select("component_id").distinct()
+    kept = docs.join(groups, F.col("doc_id") == F.col("component_id"), "left_semi")
+    return kept.unionByName(docs.filter("doc_id IS NULL"))
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, seed: int = 42, radius: int = 3) -> DataFrame:

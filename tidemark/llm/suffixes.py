@@ -180,10 +180,11 @@ def repeated_windows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(t, spans, kept) of each distinct text that holds a repeated window.
+    """(t, spans, kept, kept_text) of each distinct text that holds a repeated window.
 
     ``t`` is :func:`text_key` of the text, ``spans`` the maximal runs of bytes [start, stop) covered by
-    windows that also start anywhere else, in this document or another, and ``kept`` the bytes left.
+    windows that also start anywhere else, in this document or another, ``kept`` the bytes left, and
+    ``kept_text`` the same without the characters of which a byte was removed.
     Null text counts as empty; texts shorter than a window have no row; copies of a text, repeated
     rows included, share one row; no documents give no rows. Only the text column is read.
     """
@@ -197,15 +198,16 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         new = np.concatenate([[True], edges[1:, 0] > reach[:-1]])
         starts = edges[new, 0].tolist()
         stops = reach[np.concatenate([np.flatnonzero(new)[1:], [len(edges)]]) - 1].tolist()
-        kept = b"".join([data[a:b] for a, b in zip([0, *stops], [*starts, len(data)], strict=True)])
-        yield [[{"start": a, "stop": b} for a, b in zip(starts, stops, strict=True)]], [kept]
+        left = [data[a:b] for a, b in zip([0, *stops], [*starts, len(data)], strict=True)]
+        text = "".join([x.decode("utf-8", "ignore") for x in left])
+        yield [[{"start": a, "stop": b} for a, b in zip(starts, stops, strict=True)]], [b"".join(left)], [text]
 
-    return _on_texts(held, covered, cut, "t binary, spans array<struct<start:bigint,stop:bigint>>, kept binary")
+    return _on_texts(held, covered, cut, "t binary, spans array<struct<start:bigint,stop:bigint>>, kept binary, kept_text string")
 
 
 def cut_repeats(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs``, with spans (null if none) and kept (null if nothing was removed) added."""
-    found = staged(repeated_spans(docs), "repeats").select(F.col("t").alias("_t2"), "spans", "kept")
+    """All columns of ``docs``, with spans, kept and kept_text added, null where nothing was removed."""
+    found = staged(repeated_spans(docs), "repeats").withColumnRenamed("t", "_t2")
     return docs.join(found, text_key(F.col("text")) == F.col("_t2"), "left").drop("_t2")
 
 
