@@ -4,9 +4,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tidemark import catalog
 from tidemark.compare import duck_rows, register_tables, same_rows, spark_rows
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(catalog.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -18,9 +19,9 @@ def duck(sf):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query(spark, sf, duck, name):
-    mine = spark_rows(entry.queries()[name](spark, sf))
+    mine = spark_rows(catalog.QUERIES[name](spark, sf))
     assert mine[1]
-    sql = entry.oracle_sql().get(name)
+    sql = catalog.ORACLES.get(name)
     if sql:
         verdict = same_rows(mine, duck_rows(duck, sql))
         assert verdict.startswith("ok"), verdict
@@ -31,7 +32,7 @@ def test_entry(spark):
 
 
 def test_only_the_sketch_has_no_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"uv_approx"}
+    assert set(catalog.QUERIES) - set(catalog.ORACLES) == {"uv_approx"}
 
 
 def test_sketch_is_close(spark, sf):
