@@ -2,21 +2,49 @@
 
 The pre-tokenizers of the supported files never join characters over white space, so the ids of a
 text are the ids of its white-space separated units in a row. Words repeat: a unit is encoded by the
-library once per worker and looked up afterwards. The memo is cleared at a fixed size.
+library once per worker and looked up afterwards, and so is what stands between two spaces. A plain word goes straight to the library's model.
+The memo is cleared at a fixed size.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from array import array
 from functools import lru_cache
 
-import numpy as np
 from tokenizers import Tokenizer
 
 #: White space as the tokenizers' patterns see it (the Unicode property White_Space).
 SPACE = "\t-\r \x85\xa0  -     　"
-MEMO_UNITS, LONGEST_UNIT = 400_000, 64
+MEMO_UNITS, LONGEST_UNIT = 600_000, 40
+
+
+#: Letters and punctuation of plain words: the tokenizers' patterns never split the one and always split
+#: between the two, and normalisers change nothing but the case.
+LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
+PUNCTUATION = r"!-/:-@\[-`{-~"
+
+
+def _byte_letters() -> dict[int, str]:
+    """The character that byte-level vocabularies write for each byte: itself if it is printable."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+class _Memo(dict):
+    """Ids by unit; a unit that is missing is encoded."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, unit: str) -> bytes:
+        ids = self.encode(unit)
+        if len(unit) <= LONGEST_UNIT:
+            self[unit] = ids
+        return ids
 
 
 class Encoder:
@@ -27,31 +55,55 @@ class Encoder:
             keeps_space = (json.load(f).get("pre_tokenizer") or {}).get("type") == "ByteLevel"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        # A byte-level unit keeps the white space before a word; the others drop it.
-        self.units = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+" if keeps_space else f"[^{SPACE}]+").findall
-        self.memo: dict[str, bytes] = {}
+        self.model, self.lower, self.letters = self.tokenizer.model, not keeps_space, _byte_letters()
+        lead, any_space = (" ?", f"[{SPACE}]*") if keeps_space else ("", "")
+        after = f"(?=[{SPACE}{PUNCTUATION}]|\\Z)"
+        # A word, the punctuation that ends it, or whatever else stands between white space.
+        self.units = re.compile(
+            f"{lead}[{LETTER}]+{after}|(?<=[{LETTER}])[{PUNCTUATION}]+(?=[{SPACE}]|\\Z)|{any_space}[^{SPACE}]+" + (f"|[{SPACE}]+" if keeps_space else "")
+        ).findall
+        self.plain = re.compile(f"{lead}[{LETTER}]+|[{PUNCTUATION}]+").fullmatch
+        self.memo, self.chunks = _Memo(self._encode), _Memo(self._encode_chunk)
+        odd = SPACE.replace(" ", "", 1).replace("\t-\r", "\t\x0b-\r") if keeps_space else ""
+        self.odd = re.compile(f"[{odd}\x1c-\x1f]").search
+
+    def _encode(self, unit: str) -> bytes:
+        if self.plain(unit) and "'" not in unit:  # one word of the vocabulary's own alphabet
+            unit = unit.lower() if self.lower else unit
+            found = self.model.tokenize(unit.encode().decode("latin-1").translate(self.letters))
+            return array("I", [x.id for x in found]).tobytes()
+        return array("I", self.tokenizer.encode(unit, add_special_tokens=False).ids).tobytes()
+
+    def _encode_chunk(self, chunk: str) -> bytes:
+        """Ids of what stands between two spaces, the first of them and a line feed that opens it included."""
+        if self.lower:
+            units = self.units(chunk)
+            return self._encode(chunk) if len(units) == 1 else b"".join(map(self.chunks.__getitem__, units))
+        if chunk[0] == "\n":
+            return self.memo["\n"] + b"".join(map(self.memo.__getitem__, self.units(chunk[1:])))
+        units = self.units(" " + chunk)
+        if len(units) == 1:
+            return self._encode(units[0])
+        first = units[0][1:]
+        return (self.chunks[first] if first else self.memo[" "]) + b"".join(map(self.memo.__getitem__, units[1:]))
 
-    def _encode(self, units: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(units, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+    def _ids(self, text: str) -> bytes:
+        if self.odd(text):
+            return b"".join(map(self.memo.__getitem__, self.units(text)))
+        if self.lower:
+            return b"".join(map(self.chunks.__getitem__, text.split()))
+        if not text or text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n " in text or " \n" in text or "\n\n" in text:
+            return b"".join(map(self.memo.__getitem__, self.units(text)))
+        first, *rest = text.replace("\n", " \n").split(" ")
+        return b"".join(map(self.memo.__getitem__, self.units(first))) + b"".join(map(self.chunks.__getitem__, rest))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
-        split = [self.units(x) for x in texts]
-        memo = self.memo
-        new = set().union(*split).difference(memo)
-        extra = {}
-        if new:
-            long = [u for u in new if len(u) > LONGEST_UNIT]
-            extra = dict(zip(long, self._encode(long), strict=True))
-            new = list(new.difference(long))
-            if len(memo) + len(new) > MEMO_UNITS:
-                memo.clear()
-                new = list(set().union(*split).difference(extra))
-            memo.update(zip(new, self._encode(new), strict=True))
-        if extra:
-            return [b"".join([extra[u] if u in extra else memo[u] for u in units]) for units in split]
-        return [b"".join([memo[u] for u in units]) for units in split]
+        out = [self._ids(x) for x in texts]
+        if len(self.memo) + len(self.chunks) > MEMO_UNITS:
+            self.memo.clear()
+            self.chunks.clear()
+        return out
 
 
 @lru_cache(maxsize=4)
