@@ -22,7 +22,10 @@ def matrix(column: pa.Array) -> np.ndarray:
 
 def ordered_sum(values: np.ndarray) -> np.ndarray:
     """Row sums of doubles added from left to right, so equal rows have equal sums wherever they are."""
-    return np.add.reduce(np.ascontiguousarray(values.T), axis=0) if len(values) else np.zeros(0)
+    total = np.zeros(len(values))
+    for column in values.T:
+        total += column
+    return total
 
 
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
