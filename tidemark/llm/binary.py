@@ -219,9 +219,11 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     for r in table:
         freq[r.id] = r.frequency
     blocks = spark.read.schema(CODED).parquet(f"{path}/blocks")
-    files = blocks.groupBy("file_id").agg(F.max(F.col("first") + F.col("n_tokens")).alias("n"))
-    files = files.selectExpr("file_id AS of_file", "coalesce(sum(n) OVER (ORDER BY file_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before")
-    schema = "doc_id bigint, file_id int, start bigint, n_tokens bigint, ids binary"
+    totals = blocks.groupBy("file_id").agg(F.max(F.col("first") + F.col("n_tokens")).alias("n"))
+    before, at = {}, 0
+    for r in sorted(totals.collect()):  # a row per file, of which there are as many as partitions
+        before[r.file_id], at = at, at + r.n
+    schema = "doc_id bigint, start bigint, n_tokens bigint, ids binary"
     columns = ["file_id", "first", "n_tokens", "doc_ids", "doc_lengths", "lanes", "states", "words", "ids_crc32"]
 
     def decode(batches):
@@ -239,19 +241,14 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(keys.as_py(), pa.int64()),
-                        pa.array([file_id.as_py()] * len(ends), pa.int32()),
-                        pa.array(starts + first.as_py()),
+                        pa.array(starts + first.as_py() + before[file_id.as_py()]),
                         pa.array(ends - starts),
                         pa.array([got[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], pa.binary()),
                     ],
-                    ["doc_id", "file_id", "start", "n_tokens", "ids"],
+                    ["doc_id", "start", "n_tokens", "ids"],
                 )
 
-    # One row per file, of which there are as many as partitions: a bound on what is broadcast.
-    found = blocks.select(*columns).mapInArrow(decode, schema)
-    return found.join(F.broadcast(files), F.col("file_id") == F.col("of_file")).select(
-        "doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids"
-    )
+    return blocks.select(*columns).mapInArrow(decode, schema)
 
 
 def new_folder(spark: SparkSession) -> str:
