@@ -11,7 +11,7 @@ from tidemark.session import build_session
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 # Thresholds that leave every key whole, cut the larger ones, and cut every key to shreds.
-POLICIES = {"whole": HotKeys(), "some": HotKeys(60, 5, 20), "all": HotKeys(1, 20_000, 3)}
+POLICIES = {"whole": HotKeys(), "some": HotKeys(60, 20), "all": HotKeys(1, 3)}
 
 
 @pytest.fixture(scope="session")

@@ -2,13 +2,12 @@
 
 import pytest
 
-import __spark_entry__ as entry
-from tidemark import model
+from tidemark import catalog, model
 from tidemark.operators import rank, visitors
 
 # These run when they are called, as streams or through a written file.
 EAGER = {"ddl_csv_table", "tumble_count_wm"}
-BATCH = sorted(n for n in entry.queries() if n not in EAGER and not n.startswith("stream_"))
+BATCH = sorted(n for n in catalog.QUERIES if n not in EAGER and not n.startswith("stream_"))
 
 
 def plan(df, capsys):
@@ -19,7 +18,7 @@ def plan(df, capsys):
 
 @pytest.mark.parametrize("name", BATCH)
 def test_no_single_task_and_no_cross_join(spark, sf, capsys, name):
-    text = plan(entry.queries()[name](spark, sf), capsys)
+    text = plan(catalog.QUERIES[name](spark, sf), capsys)
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "SinglePartition", "PythonUDF", "BatchEvalPython"):
         assert word not in text
 

@@ -887,28 +887,27 @@ def uv_bitmap(spark, sf_dir):
     return visitors.by_bits(_behavior(spark, sf_dir), view="view").drop("window_start")
 
 
-@query()
+@query(f"SELECT {end('ts', HOUR)} AS window_end, true AS within_error FROM {VIEWS} GROUP BY 1")
 def uv_approx(spark, sf_dir):
-    return visitors.approximate(_behavior(spark, sf_dir), view="view").drop("window_start")
+    """Whether the sketch is within three times its stated error of the exact count."""
+    error = 0.01
+    near = visitors.approximate(_behavior(spark, sf_dir), view="view", error=error).select("window_end", F.col("uv").alias("near"))
+    both = visitors.exact(_behavior(spark, sf_dir), view="view").join(near, "window_end", "left")
+    off = F.abs(F.col("near") - F.col("uv")) <= F.greatest(F.lit(1.0), 3 * error * F.col("uv"))
+    return both.select("window_end", F.coalesce(off, F.lit(False)).alias("within_error"))
 
 
 # --- streams -------------------------------------------------------------------------------
 #
-# Each runs over what the source holds now and stops; what the final watermark has not passed is
-# still in state, so the SQL cuts the batch result there.
+# Each runs over what the source holds now, to its end, so the SQL is that of the whole table.
 
 DELAY = "1 hour"
-PASSED = "(SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 HOUR FROM {events})"
-SEEN = PASSED.format(events="events")
 
 
 def _stream(spark, sf_dir, name="events", ts="ts", where="true"):
-    """A table as a stream; the watermark follows the rows ``where`` keeps."""
-    return operators.with_event_time(model.table_stream(spark, sf_dir, name).filter(where), ts, DELAY)
-
-
-def _cut(name: str, condition: str) -> str:
-    return f"SELECT * FROM ({ORACLES[name]}) WHERE {condition}"
+    """A table as a bounded stream of the rows that ``where`` keeps."""
+    rows = model.table_stream(spark, sf_dir, name).filter(where)
+    return operators.with_event_time(operators.with_end(rows, ts), ts, DELAY)
 
 
 def _times(df: DataFrame, *columns: str) -> DataFrame:
@@ -916,22 +915,21 @@ def _times(df: DataFrame, *columns: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT user_id, {end('ts', DAY)} AS window_end, count(*) AS count FROM events GROUP BY 1, 2
-        HAVING {end('ts', DAY)} <= {SEEN}"""
+    f"""SELECT user_id, {end('ts', DAY)} AS window_end, count(*) AS count FROM events GROUP BY 1, 2"""
 )
 def tumble_count_wm(spark, sf_dir):
     counts = operators.tumble_count(_stream(spark, sf_dir), ["user_id"], "ts", "1 day")
     return _ntz(operators.finished(spark, counts, "tumble-count"), "window_end").drop("window_start")
 
 
-@query(_cut("uv_exact", f"window_end <= {PASSED.format(events=VIEWS)}"))
+@query(ORACLES["uv_exact"])
 def stream_uv_exact(spark, sf_dir):
     views = _stream(spark, sf_dir, where="event_type = 'view'")
     counts = operators.unique_visitors(views, "user_id", "ts", "1 hour")
     return _ntz(operators.finished(spark, counts, "uv"), "window_end").drop("window_start")
 
 
-@query(_cut("top_items", f"window_end <= {PASSED.format(events=VIEWS)}"))
+@query(ORACLES["top_items"])
 def stream_top_items(spark, sf_dir):
     views = model.user_behavior(_stream(spark, sf_dir, where="event_type = 'view'"))
     path = shared_dir(spark, "top-items")
@@ -962,7 +960,7 @@ def _folded(spark, sf_dir, fold, label, **columns):
 
 @query(
     f"""SELECT user_id, d.event_id, d.temperature AS value, d.diff FROM ({ORACLES['temp_diff_ttl']}) d
-        JOIN events e ON d.event_id = e.event_id WHERE e.ts <= {SEEN}"""
+        JOIN events e ON d.event_id = e.event_id"""
 )
 def stream_temp_diff_ttl(spark, sf_dir):
     fold = folds.ValueChange(expire=6 * HOUR)
@@ -970,31 +968,31 @@ def stream_temp_diff_ttl(spark, sf_dir):
     return found.select("user_id", F.col("tie").alias("event_id"), "value", F.round("diff", 6).alias("diff"))
 
 
-@query(f"SELECT CAST(id AS bigint) AS user_id, alert_at FROM ({_cut('temp_rise_alert', f'alert_at <= {SEEN}')})")
+@query(f"SELECT CAST(id AS bigint) AS user_id, alert_at FROM ({ORACLES['temp_rise_alert']})")
 def stream_temp_rise_alert(spark, sf_dir):
     found = _folded(spark, sf_dir, folds.RiseAlert(12 * HOUR), "rise", value=F.col("value"))
     return _times(found, "alert_at")
 
 
-@query(_cut("anchored_window_count", f"fired_at <= {SEEN}"))
+@query(ORACLES["anchored_window_count"])
 def stream_anchored_window_count(spark, sf_dir):
     return _times(_folded(spark, sf_dir, folds.AnchoredCount(12 * HOUR), "anchored"), "anchor", "fired_at")
 
 
-@query(_cut("login_fail_window", f"alert_at <= {SEEN}"))
+@query(ORACLES["login_fail_window"])
 def stream_login_fail_window(spark, sf_dir):
     fold = folds.LoginFailures(12 * HOUR, "error", "signup")
     return _times(_folded(spark, sf_dir, fold, "login", kind=F.col("event_type")), "alert_at")
 
 
-@query(_cut("order_timeout_state", f"timeout_at <= {SEEN}"))
+@query(ORACLES["order_timeout_state"])
 def stream_order_timeout(spark, sf_dir):
     fold = folds.OrderTimeouts(12 * HOUR, "click", "purchase")
     found = _folded(spark, sf_dir, fold, "order-timeout", kind=F.col("event_type"))
     return _times(found, "created_at", "timeout_at")
 
 
-@query(_cut("retract_changelog", f"ts <= {SEEN}"))
+@query(ORACLES["retract_changelog"])
 def stream_retract_changelog(spark, sf_dir):
     item = F.get_json_object("props", "$.k")
     found = _folded(spark, sf_dir, folds.MinMaxChanges(), "changelog", value=item)
@@ -1002,7 +1000,7 @@ def stream_retract_changelog(spark, sf_dir):
 
 
 @query(
-    f"""SELECT event_id, user_id, value FROM ({ORACLES['switch_filter']}) WHERE ts <= {SEEN}"""
+    f"""SELECT event_id, user_id, value FROM ({ORACLES['switch_filter']})"""
 )
 def stream_switch_filter(spark, sf_dir):
     on = F.col("event_type") == "signup"
@@ -1019,19 +1017,13 @@ def stream_switch_filter(spark, sf_dir):
 
 @query(
     f"""SELECT user_id, ts AS at, ts + INTERVAL 9999 MILLISECOND AS fire_at FROM events
-        WHERE ts + INTERVAL 9999 MILLISECOND <= {SEEN} GROUP BY user_id, ts"""
+        GROUP BY user_id, ts"""
 )
 def stream_event_timer(spark, sf_dir):
     return _times(_folded(spark, sf_dir, folds.EventTimers(9_999_000), "timers"), "at", "fire_at")
 
 
-@query(
-    _cut(
-        "cep_order_timeout",
-        "CASE WHEN output = 'matched' THEN paid_at ELSE created_at + INTERVAL 12 HOUR END <= "
-        + PASSED.format(events="events WHERE event_type IN ('click', 'purchase')"),
-    )
-)
+@query(ORACLES["cep_order_timeout"])
 def stream_cep_order_timeout(spark, sf_dir):
     rows = _stream(spark, sf_dir, where="event_type IN ('click', 'purchase')")
     fold = folds.Sequence(["click", "purchase"], 12 * HOUR, timeouts=True)
@@ -1042,7 +1034,7 @@ def stream_cep_order_timeout(spark, sf_dir):
     return _times(out, "created_at", "paid_at").drop("times")
 
 
-@query(_cut("cep_times3", f"t3 <= {SEEN}"))
+@query(ORACLES["cep_times3"])
 def stream_cep_times3(spark, sf_dir):
     found = _folded(spark, sf_dir, folds.Repetition("error", 3), "cep-times", kind=F.col("event_type"))
     out = found.withColumns({f"t{i + 1}": F.get("times", F.lit(i)) for i in range(3)})

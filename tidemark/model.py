@@ -24,10 +24,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The same table as a file stream; its schema is the table's own."""
+    """The same table, one file or a folder of part files, as a stream; its schema is the table's own."""
     schema = table(spark, sf_dir, name).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-    return reader.parquet(sf_dir)
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parquet*")
 
 
 def _item_id():

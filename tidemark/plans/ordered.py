@@ -4,9 +4,8 @@ A window function over ``PARTITION BY key ORDER BY ts`` puts a whole key in one
 right for almost every key and hopeless for one that holds a third of the table. ``Ordered``
 keeps the plain window plan for ordinary keys and cuts each hot key in pieces along its order:
 
-1. count rows per key (partial aggregation, one narrow column) and keep the keys above
-   ``hot_rows``; the list is cut at ``max_keys`` by a top-k, so it may be broadcast, and any key
-   outside it holds at most ``1 / max_keys`` of the rows;
+1. count rows per key (partial aggregation, one narrow column) and keep all keys above
+   ``hot_rows``, of which there are at most rows / ``hot_rows``; adaptive execution picks the join;
 2. give each row of a hot key a piece number by equal steps of the leading order column;
 3. compute running values inside (key, piece);
 4. reduce each piece to one row, run over the pieces of the key, and add what earlier pieces
@@ -16,7 +15,8 @@ Rows are shuffled once, by (key, piece), for any number of steps. When no key is
 execution drops the empty branches and the plain window plan is left. Everything is decided by
 counts of the data itself, so a recomputed task gives the same pieces.
 
-Keys and order columns must not be NULL, and the order columns should be unique within a key.
+NULL is a key like any other. Order columns must not be NULL, and should be unique within a key.
+Pieces are equal steps of the leading order column: a burst in a short time stays in one piece.
 """
 
 from __future__ import annotations
@@ -38,7 +38,6 @@ class HotKeys:
     """When a key is too large for one task, and how large its pieces should be."""
 
     hot_rows: int = 1_000_000
-    max_keys: int = 20_000
     piece_rows: int = 250_000
 
 
@@ -126,8 +125,6 @@ class Ordered:
             .groupBy(*self.keys)
             .agg(F.count(F.lit(1)).alias("_n"), F.min(pos).alias("_lo"), F.max(pos).alias("_hi"))
             .filter(F.col("_n") > hot.hot_rows)
-            .orderBy(F.col("_n").desc(), *self.keys)
-            .limit(hot.max_keys)
             .select(
                 *[F.col(k).alias(f"_hot_{k}") for k in self.keys],
                 "_lo",
@@ -137,9 +134,9 @@ class Ordered:
                 ).alias("_step"),
             )
         )
-        cond = [F.col(k) == F.col(f"_hot_{k}") for k in self.keys]
+        cond = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in self.keys]
         self.df = (
-            df.join(F.broadcast(found), cond, "left")
+            df.join(found, cond, "left")
             .withColumn(PIECE, F.floor((pos - F.col("_lo")) / F.col("_step")).cast("bigint"))
             .drop(*[f"_hot_{k}" for k in self.keys], "_lo", "_step")
         )
@@ -168,7 +165,7 @@ class Ordered:
             *[F.col(k).alias(f"_c_{k}") for k in [*self.keys, PIECE]],
             *[self._carry(n, s).alias(f"_carry_{n}") for n, s in specs.items()],
         )
-        cond = [F.col(k) == F.col(f"_c_{k}") for k in [*self.keys, PIECE]]
+        cond = [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in self.keys] + [F.col(PIECE) == F.col(f"_c_{PIECE}")]
         joined = df.join(carried, cond, "left")
         done = joined.withColumns({f"_own_{n}": self._local(n, s) for n, s in specs.items()})
         done = done.withColumns({n: _combine(n, s) for n, s in specs.items()})

@@ -191,14 +191,15 @@ def early_firing(
         raise ValueError("the step must divide the window size")
     kind = df.schema[ts].dataType
     pos = position(df, ts)
-    ends = F.sequence(F.col("_pane") + step, F.col("_start") + size, F.lit(step).cast("bigint"))
+    # A pane's running count holds from its own boundary to the next pane's, or to the window's end.
+    order = Window.partitionBy(*keys, "_start").orderBy("_pane")
+    until = F.coalesce(F.lead("_pane").over(order), F.col("_start") + size)
     return (
         df.groupBy(*keys, floor_to(pos, size).alias("_start"), floor_to(pos, step).alias("_pane"))
         .agg(F.count(F.lit(1)).alias("_n"))
         .transform(before_fan_out, *keys, "_start")
-        .withColumn("_at", F.explode(ends))
-        .groupBy(*keys, "_start", "_at")
-        .agg(F.sum("_n").alias("count"))
+        .select(*keys, "_start", "_pane", until.alias("_until"), F.sum("_n").over(order).alias("count"))
+        .withColumn("_at", F.explode(F.sequence(F.col("_pane") + step, F.col("_until"), F.lit(step).cast("bigint"))))
         .select(
             *keys,
             from_position(F.col("_start") + size, kind).alias("window_end"),

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -48,13 +46,7 @@ def use_rocksdb(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new path for a written table or a stream's checkpoint, in the cluster's shared folder.
 
-    The folder is the one ``spark.checkpoint.dir`` names. Only a local session without that
-    setting gets a temporary folder of its own.
+    The folder is the one ``spark.checkpoint.dir`` names, or else the session's warehouse.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return os.path.join(base, f"{label}-{uuid.uuid4().hex}")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -62,28 +63,48 @@ def upsert(
 ) -> None:
     """Upsert the latest row per key: executors stage the rows over JDBC, then one MERGE runs.
 
-    Only the MERGE goes through the driver; a batch that is tried again gives the same table.
+    Only the MERGE goes through the driver; a batch that is tried again gives the same table. Each
+    call stages in a table of its own, with the target's text types, and drops it.
     """
     spark: SparkSession = df.sparkSession
-    staged = f"{target}_staged"
+    staged = f"{target}_{uuid.uuid4().hex[:12]}"
     last = latest_per_key(df, keys, order).select(*keys, *values)
     texts = [f.name for f in last.schema.fields if isinstance(f.dataType, StringType)]
-    writer = last.write.format("jdbc").options(url=url, driver=driver, dbtable=staged, **(options or {}))
-    if texts:
-        writer = writer.option("createTableColumnTypes", ", ".join(f"{t} VARCHAR(255)" for t in texts))
-    writer.mode("overwrite").save()
     properties = spark._jvm.java.util.Properties()
     for k, v in (options or {}).items():
         properties.setProperty(k, v)
+    spark._jvm.java.lang.Class.forName(driver)
     connection = spark._jvm.java.sql.DriverManager.getConnection(url, properties)
     try:
         statement = connection.createStatement()
-        statement.executeUpdate(merge_statement(target, staged, keys, values))
-        statement.close()
+        types = _text_types(statement, target, texts)
+        writer = last.write.format("jdbc").options(url=url, driver=driver, dbtable=staged, **(options or {}))
+        if types:
+            writer = writer.option("createTableColumnTypes", ", ".join(f"{t} {kind}" for t, kind in types.items()))
+        writer.mode("overwrite").save()
+        try:
+            statement.executeUpdate(merge_statement(target, staged, keys, values))
+        finally:
+            statement.executeUpdate(f"DROP TABLE {staged}")
+            statement.close()
     finally:
         connection.close()
 
 
+def _text_types(statement, target: str, names: Sequence[str]) -> dict[str, str]:
+    """The types that the target table gives its text columns, lengths included."""
+    if not names:
+        return {}
+    found = statement.executeQuery(f"SELECT {', '.join(names)} FROM {target} WHERE 1 = 0")
+    about = found.getMetaData()
+    types = {}
+    for i, name in enumerate(names, 1):
+        kind, size = about.getColumnTypeName(i), about.getPrecision(i)
+        types[name] = f"{kind}({size})" if kind.upper().endswith(("CHAR", "VARCHAR2")) and size else kind
+    found.close()
+    return types
+
+
 def upsert_each_batch(**settings) -> Callable[[DataFrame, int], None]:
     """The same for a stream's ``foreachBatch``."""
 

@@ -24,6 +24,24 @@ def with_event_time(df: DataFrame, ts: str, delay: str = "0 seconds") -> DataFra
     return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
 
 
+# A time after all others, from which the watermark lets every window and timer of a bounded stream fire.
+END = "9000-01-01 00:00:00"
+
+
+def with_end(rows: DataFrame, ts: str) -> DataFrame:
+    """A bounded stream and one row at ``END`` whose other columns are NULL.
+
+    Run to its end, the stream's watermark passes all other rows, as at the end of bounded input. The
+    last row's own windows and timers stay in the state. Call it before the watermark is set, after
+    filters, and on both sides of a join.
+    """
+    spark = rows.sparkSession
+    path = shared_dir(spark, "end")
+    last = [F.lit(END if f.name == ts else None).cast(f.dataType).alias(f.name) for f in rows.schema.fields]
+    spark.range(1).select(*last).write.parquet(path)
+    return rows.unionByName(spark.readStream.schema(rows.schema).parquet(path))
+
+
 def tumble_count(df: DataFrame, keys: Sequence[str], ts: str, size: str) -> DataFrame:
     """Counts per key and window, each emitted once when the watermark passes its end."""
     return tumbling(df, keys, ts, size, F.count(F.lit(1)).alias("count"))
