@@ -128,6 +128,7 @@ def dealt_to_trees(keyed: DataFrame, tree_nodes: int) -> DataFrame:
     their queries by the shuffle and not by one broadcast, because all of them grow with the data.
     """
     sizes = keyed.groupBy("k", "v").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("k").alias("k2"), F.col("v").alias("v2"), "n")
+    sizes = staged(sizes, "shard-sizes")  # so that the join shuffles both sides itself and can split a hot shard
     pieces = F.ceil(F.col("n") / tree_nodes).cast("int")
     met = keyed.join(sizes, (F.col("k") == F.col("k2")) & (F.col("v") == F.col("v2"))).withColumn("own", F.pmod(F.xxhash64("node"), pieces))
     # A piece builds the trees (own, j) of later pieces j and asks those of earlier ones.

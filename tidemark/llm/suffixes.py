@@ -150,7 +150,8 @@ def _totals(rows: DataFrame, key: list[str], names: list[str]) -> DataFrame:
     for a in agree:
         alike = alike & a
     found = rows.groupBy(*key).agg(F.sum("n").alias("total"), alike.alias("alike")).filter("total > 1")
-    return found.select(*[F.col(k).alias(f"{k}_") for k in key], "alike")
+    # Written, so that the join that follows shuffles both sides itself and can split a hot key.
+    return staged(found.select(*[F.col(k).alias(f"{k}_") for k in key], "alike"), "totals")
 
 
 def repeated_windows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
