@@ -42,14 +42,21 @@ def estimates(packed: np.ndarray, scale: np.ndarray, queries: np.ndarray, turn:
 def nearest_in_block(ids, vectors, packed, scale, query_ids, queries, turn, k: int, sigmas: float):
     """(query, id, cosine) triples: per query at most k of the block, ties to the smaller id.
 
-    The k-th largest lower bound of a query is a cosine that k vectors reach; every vector whose upper
-    bound reaches it is reranked on the original vectors.
+    The k vectors with the largest estimates are measured first; the smallest of their cosines is one
+    that k vectors reach. Every vector whose upper bound reaches it is reranked on the original vectors.
     """
     about, bound = estimates(packed, scale, queries, turn, sigmas)
-    own = query_ids[:, None] == ids[None, :]
-    lower = np.where(own, -np.inf, about - bound)
-    floor = np.partition(lower, -k, axis=1)[:, -k] if lower.shape[1] > k else np.full(len(queries), -np.inf)
-    q, v = np.nonzero((about + bound >= floor[:, None]) & ~own)
+    own_q, own_v = np.nonzero(query_ids[:, None] == ids[None, :])
+    about[own_q, own_v] = -np.inf
+    floor = np.full(len(queries), -np.inf)
+    if len(ids) - np.bincount(own_q, minlength=len(queries)).max(initial=0) > k:
+        likely = np.argpartition(about, -k, axis=1)[:, -k:]
+        rows = np.repeat(np.arange(len(queries)), k)
+        floor = cosine(queries[rows], vectors[likely.ravel()]).reshape(-1, k).min(1)
+    about += bound.astype(np.float32) + np.float32(1e-6)
+    q, v = np.nonzero(about >= floor.astype(np.float32)[:, None])
+    free = query_ids[q] != ids[v]
+    q, v = q[free], v[free]
     score = np.empty(len(q))
     for at in range(0, len(q), 100_000):
         part = slice(at, at + 100_000)
