@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.plans.durations import micros, position
-from tidemark.plans.ordered import HotKeys, Ordered, next_row
+from tidemark.plans.ordered import HotKeys, Ordered
 
 
 @dataclass(frozen=True)
@@ -70,8 +70,8 @@ def match(
     seen = Ordered(rows, [key], order, hot).with_columns(
         {**flags, "_0": F.struct(at.alias("at"), event.alias("event"), *[f for f in _named(flags)])}
     )
-    for i in range(1, len(names)):
-        seen = seen.running(**{f"_{i}": next_row(F.col(f"_{i - 1}"))})
+    if len(names) > 1:
+        seen = seen.ahead(F.col("_0"), len(names) - 1)
 
     start = F.col("_0.at")
     reached, verdict = F.col("_0._is_0"), None

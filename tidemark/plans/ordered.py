@@ -174,6 +174,36 @@ class Ordered:
             scratch += [f"_in_{n}", f"_carry_{n}", f"_own_{n}"]
         return self._replace(done.drop(*scratch))
 
+    def ahead(self, value: Column, n: int) -> Ordered:
+        """Add ``_1`` to ``_n``: ``value`` one to ``n`` rows further on, NULL beyond the key's last row.
+
+        One pass for any ``n``: a piece takes over the first ``n`` rows of the pieces after it.
+        """
+        df = self.df.withColumn("_v", F.struct(value.alias("v")))
+        own = self._window([*self.keys, PIECE], self.order, False)
+        heads = (
+            df.filter(F.col(PIECE).isNotNull())
+            .withColumn("_at", F.row_number().over(own))
+            .filter(F.col("_at") <= n)
+            .groupBy(*self.keys, PIECE)
+            .agg(F.sort_array(F.collect_list(F.struct("_at", "_v"))).alias("_heads"))
+        )
+        over = self._window(self.keys, [PIECE], False)
+        # No piece is empty, so the next n pieces hold the next n rows.
+        later = F.flatten(F.array_compact(F.array(*[F.lead("_heads", i).over(over) for i in range(1, n + 1)])))
+        carried = heads.select(
+            *[F.col(k).alias(f"_c_{k}") for k in [*self.keys, PIECE]], F.slice(later, 1, n).alias("_carry")
+        )
+        cond = [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in self.keys] + [F.col(PIECE) == F.col(f"_c_{PIECE}")]
+        done = df.join(carried, cond, "left").withColumns({f"_own_{i}": F.lead("_v", i).over(own) for i in range(1, n + 1)})
+        inside = sum((F.col(f"_own_{i}").isNotNull().cast("int") for i in range(1, n + 1)), F.lit(0))
+        done = done.withColumn("_inside", inside)
+        for i in range(1, n + 1):
+            taken = F.get("_carry", F.greatest(F.lit(0), F.lit(i - 1) - F.col("_inside")))["_v"]
+            done = done.withColumn(f"_{i}", F.coalesce(f"_own_{i}", taken)["v"])
+        scratch = [f"_c_{k}" for k in [*self.keys, PIECE]] + [f"_own_{i}" for i in range(1, n + 1)]
+        return self._replace(done.drop(*scratch, "_v", "_carry", "_inside"))
+
     def rows(self) -> DataFrame:
         """The rows with the added columns, without the helper columns."""
         return self.df.drop(PIECE, ALL)
