@@ -14,6 +14,7 @@ from tidemark.llm.common import text_batches
 
 BITS, LONGEST_GRAM = 16, 4
 ROWS_PER_LANGUAGE, LANDMARKS_PER_LANGUAGE, RIDGE = 600, 64, 1e-3
+SHARES = 64  # of a language's rows, ranked apart
 UNKNOWN = "und"
 
 
@@ -114,9 +115,13 @@ def train(labelled: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Mo
     their doc_id; only their sets of grams reach the driver.
     """
     known = labelled.filter("lang IS NOT NULL AND text IS NOT NULL")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.select("doc_id", "lang").withColumn("place", F.row_number().over(order))
-    chosen = chosen.filter(F.col("place") <= rows_per_language)
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    # Ranked within shares of a language first, so that no task meets all rows of one language.
+    share = Window.partitionBy("lang", "share").orderBy(*order)
+    chosen = known.select("doc_id", "lang", F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(SHARES)).alias("share"))
+    chosen = chosen.withColumn("place", F.row_number().over(share)).filter(F.col("place") <= rows_per_language)
+    whole = Window.partitionBy("lang").orderBy(*order)
+    chosen = chosen.withColumn("place", F.row_number().over(whole)).filter(F.col("place") <= rows_per_language)
     # At most rows_per_language rows for each language: a bound on what is broadcast.
     chosen = F.broadcast(chosen.select(F.col("doc_id").alias("id2"), F.col("lang").alias("lang2"), "place"))
     rows = known.join(chosen, (F.col("doc_id") == F.col("id2")) & (F.col("lang") == F.col("lang2")))
