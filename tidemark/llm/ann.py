@@ -12,12 +12,15 @@ from tidemark.llm.common import staged
 from tidemark.llm.vectors import cosine, matrix, usable
 
 BLOCK_ROWS, QUERY_ROWS = 8192, 4096
+#: Bits of a code per component: vectors are padded with zeros before they are turned.
+WIDEN = 8
 
 
-def rotation(dim: int, seed: int) -> np.ndarray:
-    """A random orthogonal matrix."""
-    q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((dim, dim)))
-    return q * np.sign(np.diag(r))
+def rotation(dim: int, seed: int, widen: int = WIDEN) -> np.ndarray:
+    """The rows of a random orthogonal matrix of ``widen * dim`` that meet the components before the padding."""
+    wide = dim * widen
+    q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((wide, wide)))
+    return (q * np.sign(np.diag(r)))[:dim]
 
 
 def codes(vectors: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -30,13 +33,13 @@ def estimates(packed: np.ndarray, scale: np.ndarray, queries: np.ndarray, turn:
     """Estimated cosines (queries x codes) and the bound on the error of each code.
 
     ``scale`` corrects for what the signs lose. The error of a code is close to normal with deviation
-    sqrt((1 - scale^2) / scale^2 / (dim - 1)); the bound is ``sigmas`` of those.
+    sqrt((1 - scale^2) / scale^2 / (bits - 1)); the bound is ``sigmas`` of those.
     """
-    dim = turn.shape[0]
+    bits = turn.shape[1]
     unit = queries / np.linalg.norm(queries, axis=1)[:, None] @ turn
-    signs = np.unpackbits(packed, axis=1, count=dim).astype(np.float32) * 2 - 1
-    found = unit.astype(np.float32) @ signs.T / (np.sqrt(dim) * scale).astype(np.float32)
-    return found, sigmas * np.sqrt((1 - scale**2).clip(0) / scale**2 / max(dim - 1, 1))
+    signs = np.unpackbits(packed, axis=1, count=bits).astype(np.float32) * 2 - 1
+    found = unit.astype(np.float32) @ signs.T / (np.sqrt(bits) * scale).astype(np.float32)
+    return found, sigmas * np.sqrt((1 - scale**2).clip(0) / scale**2 / max(bits - 1, 1))
 
 
 def nearest_in_block(ids, vectors, packed, scale, query_ids, queries, turn, k: int, sigmas: float):
