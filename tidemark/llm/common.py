@@ -46,3 +46,17 @@ def text_batches(batches: Iterable[pa.RecordBatch], max_chars: int = 4_000_000)
                 start, size = i + 1, 0
         if start < len(ids):
             yield ids[start:], texts[start:]
+
+
+def merged(batches: Iterable[pa.RecordBatch], rows: int = 20_000, size: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+    """The same rows in fewer batches: small ones are joined until they hold ``rows`` rows or ``size`` bytes."""
+    held, n, held_size = [], 0, 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        held_size += batch.nbytes
+        if n >= rows or held_size >= size:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, n, held_size = [], 0, 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged
+from tidemark.llm.common import merged, staged
 
 LENGTH, GRAM, SPAN, CELL = 400, 16, 320, 16
 PART = 1 << 23  # windows handled at a time
@@ -26,10 +26,7 @@ PART = 1 << 23  # windows handled at a time
 
 def gram_hashes(data: bytes) -> np.ndarray:
     """A hash of the ``GRAM`` bytes at each position."""
-    n = len(data) - 7
-    word = np.empty(n, np.uint64)
-    for i in range(min(8, n)):
-        word[i::8] = np.frombuffer(data, "<u8", count=(n - i + 7) // 8, offset=i)
+    word = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,)).copy()  # the eight bytes from each position
     h = word[:-8] * np.uint64(0x9E3779B97F4A7C15) ^ (word[8:] + np.uint64(0x51ED270B)) * np.uint64(0xC2B2AE3D27D4EB4F)
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
@@ -87,7 +84,7 @@ def _block_rows(texts: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(np.ascontiguousarray(c)) for c in columns], names)
 
     long = texts.filter(F.octet_length("text") >= LENGTH)
-    return long.select("t", "text").mapInArrow(run, "f bigint, b1 bigint, b2 bigint, t binary, lo bigint, hi bigint, m bigint")
+    return long.select("t", "text").mapInArrow(lambda batches: merged(run(batches)), "f bigint, b1 bigint, b2 bigint, t binary, lo bigint, hi bigint, m bigint")
 
 
 def _per_text(rows: DataFrame, name: str) -> DataFrame:
@@ -108,7 +105,7 @@ def _on_texts(texts: DataFrame, items: DataFrame, run, schema: str) -> DataFrame
 
     names = [c.split()[0] for c in schema.split(", ")]
     met = texts.select("t", "text").join(_per_text(items, "items"), F.col("t") == F.col("t2")).select("t", "text", "items")
-    return met.mapInArrow(each, schema)
+    return met.mapInArrow(lambda batches: merged(each(batches)), schema)
 
 
 def _cells(data: bytes, items: list[tuple]):
