@@ -1,5 +1,7 @@
 """The pipeline and the registered queries on the small tables."""
 
+import random
+
 import duckdb
 import pytest
 
@@ -36,3 +38,21 @@ def test_each_stage_takes_odd_rows(spark, sf):
             out = stage(spark, df, sf)
             assert name == "best_fit_packing" or out.columns == odd.columns
             out.collect()
+
+
+def test_language_stage_rejects_what_is_in_no_language(spark):
+    """Learned from the texts of check-like prose: four languages of made-up words, each with its own syllables."""
+    rng = random.Random(6)
+    syllables = {"en": "the and ing tion of er re ha st on", "de": "der ung ver ein ch sch zu ge keit ü", "es": "ción ado que ar el os ta ñ ja la", "fr": "eau les ment ais ou que é ne tre et"}
+    vocabulary = {x: ["".join(rng.choice(s.split()) for _ in range(rng.randint(1, 3))) for _ in range(400)] for x, s in syllables.items()}
+    say = lambda x, n: " ".join(rng.choice(vocabulary[x]) for _ in range(n))
+    gibberish = lambda letters, n: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(n))
+    learned = [(i, say(x, rng.choice([5, 20, 100, 400])), x, "a", 0) for i, x in enumerate(["en", "de", "es", "fr"] * 100)]
+    short = [(1000 + i, say(x, n), None, "a", 0) for i, (x, n) in enumerate((x, n) for x in syllables for n in (3, 4, 6, 10, 30))]
+    odd = [gibberish(a, n) for a in ("abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцчшщ", "的一是不了人我在有他这中大来上") for n in (20, 60, 300)]
+    odd += ["wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw", "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan"]
+    rows = learned + short + [(2000 + i, text, None, "a", 0) for i, text in enumerate(odd)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, df, "").collect()}
+    assert not {i for i in kept if i >= 2000}
+    assert {r[0] for r in short} <= kept and len(kept) >= 0.98 * (len(learned) + len(short))

@@ -16,6 +16,9 @@ BITS, LONGEST_GRAM = 16, 4
 ROWS_PER_LANGUAGE, LANDMARKS_PER_LANGUAGE, RIDGE = 600, 64, 1e-3
 SHARES = 64  # of a language's rows, ranked apart
 UNKNOWN = "und"
+#: Lengths of the pieces of fitted texts by which texts are judged, parts of the rows that are held out in
+#: turn, the share of held-out pieces that may be rejected, and pieces that this is taken from at least.
+PIECE_CHARS, PARTS, REJECTED, LEAST_PIECES = (8, 32, 128, 512, 2048), 3, 0.002, 500
 
 
 @lru_cache(maxsize=1)
@@ -48,11 +51,17 @@ def grams(text: str) -> np.ndarray:
 
 @dataclass
 class Model:
-    """``weights`` holds, for each bucket and language, what its presence adds before the kernel's norm."""
+    """``weights`` holds, for each bucket and language, what its presence adds before the kernel's norm.
+
+    ``usual`` holds the log of the share of a language's texts with a bucket, ``least`` the least
+    usualness of a text with 2^i to 2^(i + 1) buckets; both are None until :meth:`judge_by`.
+    """
 
     languages: list[str]
     weights: np.ndarray
     bias: np.ndarray
+    usual: np.ndarray | None = None
+    least: np.ndarray | None = None
 
     @classmethod
     def fit(cls, rows: list[tuple[str, np.ndarray]]) -> Model:
@@ -98,21 +107,86 @@ class Model:
             out[full] = sums / np.sqrt(sizes[full])[:, None] + self.bias
         return out
 
+    def usualness(self, found: list[np.ndarray], usual: np.ndarray | None = None) -> np.ndarray:
+        """The mean log share of the texts of a language that hold a gram of the text, for the language where it is largest."""
+        usual = self.usual if usual is None else usual
+        sizes = np.array([len(g) for g in found])
+        out = np.full(len(found), -np.inf)
+        full = np.flatnonzero(sizes)
+        if len(full) and self.languages:
+            starts = np.cumsum(sizes[full]) - sizes[full]
+            sums = np.add.reduceat(usual[np.concatenate([found[i] for i in full])], starts, axis=0, dtype=np.float64)
+            out[full] = (sums / sizes[full][:, None]).max(1)
+        return out
 
-def _gram_rows(docs: DataFrame) -> DataFrame:
+    def judge_by(self, rows: list[tuple[str, list[np.ndarray]]]) -> None:
+        """Learn which texts are like those of some language, from the grams of whole texts and of pieces of them.
+
+        Each part of the rows is held out in turn and its pieces are measured by the others. A text is
+        rejected if all but a few of the held-out pieces of its size are more usual. Too few rows to
+        hold any out reject nothing.
+        """
+        rows = [(language, own) for language, own in rows if len(own[0]) and language in self.languages]
+        place = {x: j for j, x in enumerate(self.languages)}
+        counts = np.zeros((PARTS, 1 << BITS, len(place)), np.int32)
+        n = np.zeros((PARTS, len(place)))
+        seen = [0] * len(place)
+        part_of = []
+        for language, own in rows:
+            j = place[language]
+            part_of.append(seen[j] % PARTS)
+            seen[j] += 1
+            counts[part_of[-1], own[0], j] += 1
+            n[part_of[-1], j] += 1
+
+        def shares(counts, n):
+            return np.log((counts + 0.5) / (n + 1)).astype(np.float32)
+
+        self.usual = shares(counts.sum(0), n.sum(0))
+        sizes, values = [], []
+        for part in range(PARTS):
+            # A row whose language has no row in the other parts says nothing.
+            held = [g for (x, own), p in zip(rows, part_of, strict=True) if p == part and seen[place[x]] > n[part, place[x]] for g in own if len(g)]
+            if held:
+                sizes += [len(g).bit_length() - 1 for g in held]
+                values.append(self.usualness(held, shares(counts.sum(0) - counts[part], n.sum(0) - n[part])))
+        self.least = np.full(BITS + 1, -np.inf)
+        if values:
+            sizes, values = np.array(sizes), np.concatenate(values)
+            for i in range(BITS + 1):
+                away = abs(sizes - i)
+                reach = np.sort(away)[min(LEAST_PIECES, len(away)) - 1]  # sizes nearby, until there are enough
+                self.least[i] = np.quantile(values[away <= reach], REJECTED, method="lower")
+
+    def accepts(self, found: list[np.ndarray]) -> np.ndarray:
+        """Whether each text has a gram and is like texts of a language."""
+        sizes = np.array([len(g) for g in found], int)
+        least = self.least[np.maximum(0, np.frexp(sizes)[1] - 1)]
+        return (sizes > 0) & bool(self.languages) & (self.usualness(found) >= least)
+
+
+def pieces(text: str, place: int) -> list[str]:
+    """The text, and a piece of it of each length of PIECE_CHARS that is shorter."""
+    starts = [(place * 7919) % (len(text) - n + 1) for n in PIECE_CHARS if n < len(text)]
+    return [text, *(text[at : at + n] for at, n in zip(starts, PIECE_CHARS, strict=False))]
+
+
+def _gram_rows(docs: DataFrame, cut: bool) -> DataFrame:
     def run(batches):
         for batch in batches:
-            found = [grams(t.as_py() or "").astype("<u2").tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.binary())], ["lang", "place", "grams"])
+            for lang, text, place in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                found = [grams(t).astype("<u2").tobytes() for t in (pieces(text, place) if cut else [text])]
+                yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([place], pa.int32()), pa.array([found], pa.list_(pa.binary()))], ["lang", "place", "grams"])
 
-    return docs.select("lang", "text", "place").mapInArrow(run, "lang string, place int, grams binary")
+    return docs.select("lang", "text", "place").mapInArrow(run, "lang string, place int, grams array<binary>")
 
 
-def train(labelled: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Model:
+def train(labelled: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, judges: bool = False) -> Model:
     """A model from (doc_id, text, lang); null languages and texts are left out.
 
     At most ``rows_per_language`` rows of each language are used, those with the smallest hash of
-    their doc_id; only their sets of grams reach the driver.
+    their doc_id; only their sets of grams reach the driver. With ``judges`` the model also learns
+    which texts are like none of the languages.
     """
     known = labelled.filter("lang IS NOT NULL AND text IS NOT NULL")
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
@@ -125,8 +199,27 @@ def train(labelled: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Mo
     # At most rows_per_language rows for each language: a bound on what is broadcast.
     chosen = F.broadcast(chosen.select(F.col("doc_id").alias("id2"), F.col("lang").alias("lang2"), "place"))
     rows = known.join(chosen, (F.col("doc_id") == F.col("id2")) & (F.col("lang") == F.col("lang2")))
-    got = sorted((r.lang, r.place, bytes(r.grams)) for r in _gram_rows(rows).collect())
-    return Model.fit([(lang, np.frombuffer(g, "<u2").astype(np.int64)) for lang, _, g in got])
+    got = sorted((r.lang, r.place, [bytes(g) for g in r.grams]) for r in _gram_rows(rows, judges).collect())
+    fitted = [(lang, [np.frombuffer(g, "<u2").astype(np.int64) for g in own]) for lang, _, own in got]
+    model = Model.fit([(lang, own[0]) for lang, own in fitted])
+    if judges:
+        model.judge_by(fitted)
+    return model
+
+
+def in_a_language(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` (text, ...) whose text the model accepts; null texts and texts without a letter go."""
+    place = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(place)
+            kept = []
+            for _, part in text_batches([pa.RecordBatch.from_arrays([pa.nulls(len(texts)), texts], ["id", "text"])]):
+                kept += model.accepts([grams(t) for t in part]).tolist()
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
