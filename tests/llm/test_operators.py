@@ -42,6 +42,23 @@ def test_unit_memo_equals_the_library(path):
         assert encoder.encode([text])[0] == np.array(want(text), "<u4").tobytes(), repr(text)
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_added_tokens_equal_the_library(path):
+    rng, plain, encoder = random.Random(5), Tokenizer.from_file(path), tokens.Encoder(path)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", " ", "  ", "\n", "a", "One's", ".", "é"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 9)))
+        assert encoder.encode([text])[0] == np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
+
+
+def test_token_files_hold_added_tokens(spark):
+    path, plain = binary.new_folder(spark), Tokenizer.from_file(BYTE)
+    rows = [(1, "a <|endoftext|> b"), (2, "<|endoftext|>"), (3, "after")]
+    binary.write_tokens(docs(spark, rows), BYTE, 2, path)
+    got = {r.doc_id: np.frombuffer(r["ids"], "<u4").tolist() for r in binary.read_tokens(spark, path).collect()}
+    assert got == {k: [*plain.encode(t, add_special_tokens=False).ids, 2] for k, t in rows}
+
+
 def test_packing(spark):
     rows = packing.pack_documents(docs(spark, ODD), WORD, max_tokens=64, per_shard=4).collect()
     want = reference(WORD)

@@ -3,7 +3,7 @@
 The pre-tokenizers of the supported files never join characters over white space, so the ids of a
 text are the ids of its white-space separated units in a row. Words repeat: a unit is encoded by the
 library once per worker and looked up afterwards, and so is what stands between two spaces. A plain word goes straight to the library's model.
-The memo is cleared at a fixed size.
+The memo is cleared at a fixed size. Texts are split at the file's added tokens first, as the library does.
 """
 
 from __future__ import annotations
@@ -52,9 +52,15 @@ class Encoder:
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
-            keeps_space = (json.load(f).get("pre_tokenizer") or {}).get("type") == "ByteLevel"
+            file = json.load(f)
+        keeps_space = (file.get("pre_tokenizer") or {}).get("type") == "ByteLevel"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = file.get("added_tokens") or []
+        if any(x[k] for x in added for k in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"{path}: an added token that depends on the text around it or is normalised")
+        self.added = {x["content"]: array("I", [x["id"]]).tobytes() for x in added}
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.at_added = re.compile(f"({'|'.join(map(re.escape, longest_first))})").split
         self.model, self.lower, self.letters = self.tokenizer.model, not keeps_space, _byte_letters()
         lead, any_space = (" ?", f"[{SPACE}]*") if keeps_space else ("", "")
         after = f"(?=[{SPACE}{PUNCTUATION}]|\\Z)"
@@ -97,9 +103,15 @@ class Encoder:
         first, *rest = text.replace("\n", " \n").split(" ")
         return b"".join(map(self.memo.__getitem__, self.units(first))) + b"".join(map(self.chunks.__getitem__, rest))
 
+    def _parts(self, text: str) -> bytes:
+        """Ids of a text that may hold added tokens: what stands between them is encoded on its own."""
+        if not any(x in text for x in self.added):
+            return self._ids(text)
+        return b"".join(self.added[x] if i % 2 else self._ids(x) for i, x in enumerate(self.at_added(text)) if x)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
-        out = [self._ids(x) for x in texts]
+        out = [self._parts(x) for x in texts]
         if len(self.memo) + len(self.chunks) > MEMO_UNITS:
             self.memo.clear()
             self.chunks.clear()
