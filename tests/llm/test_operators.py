@@ -371,6 +371,20 @@ def test_extraction(spark):
     assert extract.extract(df.limit(0)).count() == 0
 
 
+def test_only_attributes_that_hide_drop_an_element():
+    shown = ['data-title="The hidden river"', "title='A hidden gem'", 'class="lg:flex hidden sm:block"', "title='display: none'", 'data-x="aria-hidden=true"', "aria-hidden=false"]
+    shown += ['style="display:block"', "data-hidden", 'style="display:none;display:block"', 'title="The hidden']
+    for x in shown:
+        assert [b.text for b in extract.blocks(f"<article><p {x}>kept</p></article>")] == ["kept"], x
+    for x in ["hidden", 'HIDDEN=""', "class=a hidden id=b", 'aria-hidden="true"', "aria-hidden = true", "style='color:red; display : none'", 'style="display:none!important"']:
+        assert extract.blocks(f"<article><p {x}>gone</p></article>") == [], x
+
+
+def test_formulas_stay_in_their_sentence():
+    page = "<article><p>Since <math display='block'><mi>x</mi><mo>=</mo><msup><mn>2</mn><mi>n</mi></msup></math> holds, all is well.</p></article>"
+    assert extract.main_text(page, extract.trained()) == "Since x=2n holds, all is well."
+
+
 def test_shortest_paths(spark):
     fst = pieces.transducer(PIECES)
     known = {}

@@ -25,10 +25,13 @@ TRAINING_PAGES, STEPS = 400, 120
 
 # Fixed sets of HTML element names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("head script style template noscript iframe svg math object canvas audio video textarea select title".split())
+HIDDEN = frozenset("head script style template noscript iframe svg object canvas audio video textarea select title".split())
 RAW = frozenset("script style textarea title noscript iframe template".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby s samp small span strike strong sub sup time tt u var wbr "
+    # MathML: a formula is a part of its sentence.
+    "annotation annotation-xml maction math menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace "
+    "msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split()
 )
 CLOSES_P = frozenset(
     "address article aside blockquote details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
@@ -41,7 +44,9 @@ _TAG = re.compile(
     re.S,
 )
 _NAMES = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
-_HIDDEN_ATTRIBUTE = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*("[^"]*(?:"|\Z)|'[^']*(?:'|\Z)|[^\s>]+))?""")
+_MAY_HIDE = re.compile(r"hidden|display", re.I).search
+_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([^\s;!]*)", re.I).findall
 _WORDS = re.compile(r"[a-zA-Z]+").findall
 _ENDS = re.compile(r"[.!?…:]\W*$")
 
@@ -62,6 +67,19 @@ def _name_words(attributes: str) -> tuple[str, ...]:
     return tuple(w.lower() for w in _WORDS(re.sub(r"([a-z])([A-Z])", r"\1 \2", found)))
 
 
+@lru_cache(maxsize=4096)
+def _hides(attributes: str) -> bool:
+    """Whether an element with these attributes is hidden: by ``hidden``, ``aria-hidden=true`` or ``display: none`` in its style.
+
+    Of an attribute given twice the first counts, of a style's displays the last.
+    """
+    own: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(attributes):
+        own.setdefault(name.lower(), html.unescape(value.strip(value[0]) if value[:1] in ("'", '"') else value))
+    displays = _DISPLAY(own.get("style", ""))
+    return "hidden" in own or own.get("aria-hidden", "").strip().lower() == "true" or bool(displays) and displays[-1].lower() == "none"
+
+
 def blocks(page: str) -> list[Block]:
     """The leaf blocks of a page in order, hidden elements left out.
 
@@ -141,7 +159,7 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag == "a" and (i := find(("a",), SCOPES)) >= 0:
             drop(i)
-        secret = tag in HIDDEN or bool(attributes and _HIDDEN_ATTRIBUTE.search(attributes))
+        secret = tag in HIDDEN or bool(attributes and _MAY_HIDE(attributes) and _hides(attributes))
         stack.append((tag, _name_words(attributes) if "=" in attributes else (), secret))
         hidden += secret
         links += tag == "a"
