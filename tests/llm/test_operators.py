@@ -256,6 +256,32 @@ def test_similar_groups(spark):
     assert kept == {0, 1, 2, 3, 4} | set(range(100, 120))
 
 
+def test_similar_groups_lose_no_pair(spark):
+    """Lines repeated a different number of times, and pairs at the very similarity asked for."""
+    rng = random.Random(12)
+    words = lambda n: ["w%d" % rng.randrange(10**6) for _ in range(n)]
+    rows = []
+    for _ in range(200):
+        body, line = words(60), words(10)
+        rows += [" ".join(body + line * times) for times in (2, 150)]
+    for _ in range(1500):
+        body, n = words(40), rng.choice([3, 4, 5])  # a changed tail of n words: 36 - n of 36 + n shingles in common
+        rows += [" ".join(body), " ".join(body[:-n] + words(n))]
+    sets = [set(simhash.shingle_hashes(x, 5).tolist()) for x in rows]
+    kept = [i for i in range(len(rows)) if i % 2 == 0 or len(sets[i] & sets[i - 1]) < 0.8 * len(sets[i] | sets[i - 1])]
+    found = {r.doc_id for r in simhash.first_of_each_group(docs(spark, list(enumerate(rows)))).collect()}
+    assert len(kept) < len(rows) and found == set(kept)
+
+
+def test_missed_links_alone_find_all(spark):
+    rng = random.Random(13)
+    sets = [sorted(rng.sample(range(40), rng.randint(1, 12))) for _ in range(300)]
+    rows = [(i, i, np.array(x, "<u4").tobytes()) for i, x in enumerate(sets)]
+    want = {(i, j) for i, j in combinations(range(300), 2) if len(set(sets[i]) & set(sets[j])) >= 0.6 * len(set(sets[i]) | set(sets[j]))}
+    df = spark.createDataFrame(rows, "node bigint, part bigint, set binary")
+    assert want and {(r.a, r.b) for r in simhash.missed_links(df, 0.6, tree_nodes=20).collect()} == want
+
+
 def test_repeated_strings(spark):
     rng = random.Random(3)
     base = ["".join(rng.choice("abé ") for _ in range(1500)) for _ in range(4)]
