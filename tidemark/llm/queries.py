@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, binary, extract, language, packing, pieces, pq, simhash, suffixes, toxicity
+from tidemark.llm import (
+    ann,
+    binary,
+    extract,
+    laesa,
+    language,
+    packing,
+    pieces,
+    pq,
+    secrets,
+    simhash,
+    suffixes,
+    toxicity,
+    whitening,
+)
 from tidemark.llm.common import table
 
 WORD_BPE, BYTE_BPE, PIECES = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -86,6 +100,28 @@ def op9_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets of every document."""
+    found, spans = secrets.scan(table(spark, sf_dir, "documents")), F.col("spans")
+    return found.select(
+        "doc_id",
+        *[secrets.counted(spans, kind).alias(f"n_{kind}") for kind in secrets.BASE],
+        F.sha2(secrets.listed(spans, secrets.BASE), 256).alias("base_sha256"),
+        secrets.listed(spans).alias("spans"),
+    )
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sixteen leading components of every vector, whitened."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=16)
+
+
+def op13_pivot_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector in eight codes of sixteen entries, after six rounds."""
+    coded = laesa.compress(table(spark, sf_dir, "embeddings"), parts=8, size=16, rounds=6)
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 QUERIES: dict = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_rotated_codes": op2_rotated_codes,
@@ -97,6 +133,9 @@ QUERIES: dict = {
     "op7_suffix_repeats": op7_suffix_repeats,
     "op9_simhash_bk_trees": op9_simhash_bk_trees,
     "op10_token_binary": op10_token_binary,
+    "op11_secret_scan": op11_secret_scan,
+    "op12_whitening": op12_whitening,
+    "op13_pivot_codes": op13_pivot_codes,
 }
 
 #: Vectors that take part, with their norms, as rows of the SQL below.
@@ -109,7 +148,51 @@ _UNIT = """
 
 _COSINE = "list_sum(list_transform(range(1, len(a.e) + 1), lambda i: a.e[i] * b.e[i])) / (a.norm * b.norm)"
 
+
+def _pivot_codes_sql(parts: int = 8, size: int = 16, rounds: int = 6) -> str:
+    """The rounds of op13 one after the other, each part against every entry."""
+    distance = "list_sum(list_transform(range(1, len(p.x) + 1), lambda i: (p.x[i] - c.x[i]) * (p.x[i] - c.x[i])))"
+    steps = [
+        """v AS MATERIALIZED (
+            SELECT vec_id, label, list_transform(embedding::DOUBLE[], lambda x: floor(4096 * x)::BIGINT) AS x
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""p AS MATERIALIZED (
+            SELECT vec_id, part, x[part * len(x) // {parts} + 1 : (part + 1) * len(x) // {parts}] AS x
+            FROM v, range({parts}) t(part))""",
+        f"""c0 AS MATERIALIZED (
+            SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x FROM p QUALIFY entry < {size})""",
+    ]
+    for n in range(rounds + 1):
+        steps.append(
+            f"""a{n} AS MATERIALIZED (
+            SELECT p.vec_id, p.part, any_value(p.x) AS x, min({distance}::HUGEINT * {size} + c.entry) AS best
+            FROM p JOIN c{n} c ON p.part = c.part GROUP BY p.vec_id, p.part)"""
+        )
+        if n < rounds:
+            steps.append(
+                f"""s{n} AS (
+            SELECT part, best % {size} AS entry, i, sum(x[i])::HUGEINT AS total, count(*)::HUGEINT AS n
+            FROM (SELECT part, best, x, unnest(range(1, len(x) + 1)) AS i FROM a{n}) GROUP BY ALL),
+            f{n} AS (
+            SELECT part, entry, list((((total - ((total % n + n) % n)) // n)::BIGINT) ORDER BY i) AS x FROM s{n} GROUP BY ALL),
+            c{n + 1} AS MATERIALIZED (
+            SELECT c.part, c.entry, coalesce(f.x, c.x) AS x FROM c{n} c LEFT JOIN f{n} f ON c.part = f.part AND c.entry = f.entry)"""
+            )
+    steps.append(
+        f"""e AS (
+        SELECT vec_id, string_agg(printf('%02x', (best % {size})::INT), '' ORDER BY part) AS code,
+               sum(best // {size})::BIGINT AS error FROM a{rounds} GROUP BY vec_id)"""
+    )
+    return f"""
+        WITH {", ".join(steps)}
+        SELECT e.vec_id, code, error, (sum(error) OVER (PARTITION BY v.label))::BIGINT AS label_error,
+               (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) FROM c{rounds}) AS codebooks_sha256
+        FROM e JOIN v ON e.vec_id = v.vec_id"""
+
+
 ORACLES: dict[str, str] = {
+    "op13_pivot_codes": _pivot_codes_sql(),
     "op2_rotated_codes": f"""
         WITH v AS ({_UNIT}),
         s AS (SELECT a.vec_id AS query_id, b.vec_id AS vec_id, {_COSINE} AS score
