@@ -100,14 +100,16 @@ def anchored_windows(
     ts: str,
     size: str | int = "10 seconds",
     hot: HotKeys | None = None,
+    sizes_from: DataFrame | None = None,
 ) -> DataFrame:
     """Row counts of windows that open at a key's first row and stay open for ``size``, inclusive.
 
     The first row after a window closed opens the next one. Gives keys, anchor, fired_at, count.
+    Key sizes are counted on ``sizes_from`` if given: cheaper, with at least the same rows.
     """
     kind = df.schema[ts].dataType
     rows = df.select(*keys, position(df, ts).alias("at"))
-    counts = anchored_counts(rows, list(keys), micros(size), hot)
+    counts = anchored_counts(rows, list(keys), micros(size), hot, sizes_from)
     return counts.select(
         *keys,
         from_position(F.col("anchor"), kind).alias("anchor"),
@@ -155,7 +157,7 @@ def login_failures(
         rows = segments.rows()
         ends = rows.groupBy(key, "_seg").agg(_end_of_run())
         fails = rows.filter(failed).select(key, "_seg", ts)
-        waits = anchored_windows(fails, [key, "_seg"], ts, within, hot).filter(F.col("count") >= 2)
+        waits = anchored_windows(fails, [key, "_seg"], ts, within, hot, logins).filter(F.col("count") >= 2)
         due = position(waits, "fired_at")
         found = waits.join(ends, [key, "_seg"]).filter(_not_ended(due))
         return found.select(key, F.col("fired_at").alias("alert_at"))
