@@ -118,3 +118,37 @@ def test_kafka_options(spark):
     parsed = lines.good(lines.parse_behavior(kafka_source.message_text(messages)))
     assert rows(parsed.select("user_id", "behavior")) == [(1, "pv")]
     assert rows(kafka_sink.messages(parsed, "item_id")) == [("2",)]
+
+
+def test_batched_hash_of_all_kinds_of_texts(spark):
+    texts = ["", None, "a", "é", "😀x😀", "日本語", "", "z" * 5000, None, "end", "\u0000"]
+
+    def plain(text, factor=10):
+        h = 0
+        data = text.encode("utf-16-be")
+        for i in range(0, len(data), 2):
+            h = (h * 31 + int.from_bytes(data[i : i + 2])) % 2**32
+        h = h * factor % 2**32
+        return h - 2**32 if h >= 2**31 else h
+
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").coalesce(1)
+    got = {r.i: r.h for r in df.select("i", strings.hash_code_of_texts(10)("t").alias("h")).collect()}
+    assert got == {i: None if t is None else plain(t) for i, t in enumerate(texts)}
+    assert df.limit(0).select(strings.hash_code_of_texts()("t")).collect() == []
+    nothing = df.filter("t IS NULL").select(strings.hash_code_of_texts()("t").alias("h")).collect()
+    assert [r.h for r in nothing] == [None, None]
+
+
+def test_lateral_in_sql_stays_in_the_jvm(spark, capsys):
+    user.register_split_words(spark, "split_marks", "[?#]")
+    rows = [(1, "a#b?"), (2, ""), (3, "##"), (4, None), (5, "#x")]
+    spark.createDataFrame(rows, "id int, s string").createOrReplaceTempView("marked")
+    cross = spark.sql("SELECT id, word, length FROM marked m, LATERAL split_marks(m.s)")
+    left = spark.sql("SELECT id, word, length FROM marked m LEFT JOIN LATERAL split_marks(m.s) ON true")
+    want = [(1, "a", 1), (1, "b", 1), (2, "", 0), (5, "", 0), (5, "x", 1)]
+    key = lambda r: (r[0], str(r[1]))
+    assert sorted((tuple(r) for r in cross.collect()), key=key) == want
+    assert sorted((tuple(r) for r in left.collect()), key=key) == sorted([*want, (3, None, None), (4, None, None)], key=key)
+    capsys.readouterr()
+    left.explain()
+    assert "Python" not in capsys.readouterr().out

@@ -6,7 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tidemark.operators import joins
+from tidemark.operators import joins, rolling
 from tidemark.plans.panes import count_rows, max_of, min_of, sliding, sliding_plain, sum_of
 
 
@@ -62,3 +62,28 @@ def test_switches(spark, points, hot):
     ends = F.unix_micros("ts") - F.unix_micros("t")
     plain = readings.join(on.select("k", F.col("ts").alias("t"), "d"), "k").filter(ends.between(0, F.col("d")))
     assert rows(mine.select("seq")) == rows(plain.select("seq").distinct())
+
+
+def test_list_places_are_linear_and_any_list_is_a_range(spark, hot):
+    data = [(None if i < 150 else i % 2, i, [] if i % 5 == 0 else None if i % 7 == 0 else [f"{i}.{j}" for j in range(i % 4)]) for i in range(200)]
+    df = spark.createDataFrame(data, "k int, seq int, words array<string>")
+    places = {(r.k, r.place): r.element for r in rolling.rolling_elements(df, ["k"], ["seq"], "words", hot).collect()}
+    sizes = {(r.k, r.seq): r.size for r in rolling.rolling_elements(df, ["k"], ["seq"], "words", hot).collect()}
+    assert len(places) == sum(len(w or []) for _, _, w in data)
+    lists = {}
+    for k, seq, words in data:
+        lists[k] = lists.get(k, []) + (words or [])
+        if words:
+            assert [places[k, i] for i in range(sizes[k, seq])] == lists[k]
+
+
+def test_reconcile_repeated_records_and_null_keys(spark):
+    orders = [(1, 10), (1, 10), (1, 40), (None, 10), (2, 5), (3, 7)]
+    pays = [(1, 12), (1, 12), (1, 100), (None, 10), (2, 8), (4, 1)]
+    left = spark.createDataFrame(orders, "k int, a long")
+    right = spark.createDataFrame(pays, "k int, b long")
+    want = [(k, a, b, "matched") for k, a in orders for j, b in pays if k is not None and k == j and abs(a - b) <= 3]
+    want += [(k, a, None, "unmatched_order") for k, a in orders if not any(k == j and k is not None and abs(a - b) <= 3 for j, b in pays)]
+    want += [(j, None, b, "unmatched_pay") for j, b in pays if not any(k == j and k is not None and abs(a - b) <= 3 for k, a in orders)]
+    got = joins.reconcile(left, right, "k", "a", "b", 3).select("k", "order_at", "pay_at", "output")
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(want, key=repr)

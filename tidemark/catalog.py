@@ -21,6 +21,7 @@ from tidemark.session import shared_dir
 from tidemark.sinks import documents, keyed
 from tidemark.sources import lines, tables
 from tidemark.streaming import folds, operators, processors
+from tidemark.streaming import patterns as stream_patterns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -297,6 +298,17 @@ def rolling_list_concat(spark, sf_dir):
     return lists.withColumn("roles", F.concat_ws(",", "roles"))
 
 
+@query(
+    """SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn, pos) - 1 AS place, word AS element,
+              count(*) OVER (PARTITION BY conv_id ORDER BY turn) AS size
+       FROM (SELECT conv_id, turn, unnest(range(len(p))) AS pos, unnest(p) AS word FROM
+             (SELECT conv_id, turn, string_split(text, ' ') AS p FROM conversations))"""
+)
+def rolling_list_places(spark, sf_dir):
+    turns = model.table(spark, sf_dir, "conversations").select("conv_id", "turn", F.split("text", " ").alias("words"))
+    return rolling.rolling_elements(turns, ["conv_id"], ["turn"], "words")
+
+
 # --- windows -------------------------------------------------------------------------------
 
 
@@ -728,14 +740,16 @@ LATERAL = """SELECT page_id, w.word, CAST(length(w.word) AS int) AS length FROM
 
 @query(LATERAL.format(join="LEFT JOIN LATERAL", on=" ON true"))
 def lateral_left(spark, sf_dir):
-    pages = model.table(spark, sf_dir, "pages").select("page_id", "url")
-    return user.split_words(pages, "url", "[?#]", keep_empty=True).drop("url")
+    user.register_split_words(spark, "split_words", "[?#]")
+    pages = _view(model.table(spark, sf_dir, "pages"), "pages")
+    return spark.sql(f"SELECT page_id, word, length FROM {pages} p LEFT JOIN LATERAL split_words(p.url) ON true")
 
 
 @query(LATERAL.format(join=", LATERAL", on=""))
 def lateral_cross(spark, sf_dir):
-    pages = model.table(spark, sf_dir, "pages").select("page_id", "url")
-    return user.split_words(pages, "url", "[?#]", keep_empty=False).drop("url")
+    user.register_split_words(spark, "split_words", "[?#]")
+    pages = _view(model.table(spark, sf_dir, "pages"), "pages")
+    return spark.sql(f"SELECT page_id, word, length FROM {pages} p, LATERAL split_words(p.url)")
 
 
 # --- functions -----------------------------------------------------------------------------
@@ -995,7 +1009,7 @@ def stream_order_timeout(spark, sf_dir):
 @query(ORACLES["retract_changelog"])
 def stream_retract_changelog(spark, sf_dir):
     item = F.get_json_object("props", "$.k")
-    found = _folded(spark, sf_dir, folds.MinMaxChanges(), "changelog", value=item)
+    found = _folded(spark, sf_dir, folds.MinMaxChanges(), "changelog", value=item.cast("bigint"))
     return _times(found.withColumnRenamed("at", "ts").withColumnRenamed("tie", "event_id"), "ts")
 
 
@@ -1023,19 +1037,73 @@ def stream_event_timer(spark, sf_dir):
     return _times(_folded(spark, sf_dir, folds.EventTimers(9_999_000), "timers"), "at", "fire_at")
 
 
+def _matched(spark, sf_dir, pattern, label, where="true", timeouts=False):
+    rows = _stream(spark, sf_dir, where=where).select("event_id", "ts", "user_id", "event_type")
+    found = stream_patterns.match(rows, pattern, "user_id", "ts", "event_id", timeouts)
+    return operators.finished(spark, found, label)
+
+
 @query(ORACLES["cep_order_timeout"])
 def stream_cep_order_timeout(spark, sf_dir):
-    rows = _stream(spark, sf_dir, where="event_type IN ('click', 'purchase')")
-    fold = folds.Sequence(["click", "purchase"], 12 * HOUR, timeouts=True)
-    found = processors.run_fold(rows, fold, "user_id", "ts", "event_id", kind=F.col("event_type"))
-    out = operators.finished(spark, found, "cep").withColumns(
-        {"created_at": F.get("times", F.lit(0)), "paid_at": F.get("times", F.lit(1))}
-    )
-    return _times(out, "created_at", "paid_at").drop("times")
+    kind = F.col("event_type")
+    pattern = Pattern.begin("create", kind == "click").next("pay", kind == "purchase").within("12 hours")
+    found = _matched(spark, sf_dir, pattern, "cep", "event_type IN ('click', 'purchase')", timeouts=True)
+    out = found.select("user_id", F.col("create.ts").alias("created_at"), F.col("pay.ts").alias("paid_at"), "output")
+    return _ntz(out, "created_at", "paid_at")
 
 
 @query(ORACLES["cep_times3"])
 def stream_cep_times3(spark, sf_dir):
-    found = _folded(spark, sf_dir, folds.Repetition("error", 3), "cep-times", kind=F.col("event_type"))
-    out = found.withColumns({f"t{i + 1}": F.get("times", F.lit(i)) for i in range(3)})
-    return _times(out, "t1", "t2", "t3").drop("times")
+    pattern = Pattern.begin("fail", F.col("event_type") == "error").times(3)
+    found = _matched(spark, sf_dir, pattern, "cep-times")
+    return _ntz(found.select("user_id", *[F.col(f"fail_{i}.ts").alias(f"t{i}") for i in (1, 2, 3)]), "t1", "t2", "t3")
+
+
+@query(ORACLES["cep_strict3_within"])
+def stream_cep_strict3_within(spark, sf_dir):
+    failed = F.col("event_type") == "error"
+    pattern = Pattern.begin("one", failed).next("two", failed).next("three", failed).within("12 hours")
+    found = _matched(spark, sf_dir, pattern, "cep-strict")
+    steps = [F.col(f"{name}.ts").alias(f"t{i + 1}") for i, name in enumerate(("one", "two", "three"))]
+    return _ntz(found.select("user_id", *steps), "t1", "t2", "t3")
+
+
+@query(f"SELECT CAST(id AS bigint) AS user_id, window_end, fired_at, count FROM ({ORACLES['window_early_fire']})")
+def stream_early_fire(spark, sf_dir):
+    fold = folds.EarlyCounts(24 * HOUR, 4 * HOUR)
+    return _times(_folded(spark, sf_dir, fold, "early-fire"), "window_end", "fired_at")
+
+
+@query(
+    """WITH p AS (SELECT l_orderkey AS k, l_shipdate AS pay_at FROM lineitem WHERE l_linenumber = 1),
+            m AS (SELECT o_orderkey, o_orderdate, pay_at FROM orders JOIN p ON k = o_orderkey
+                  AND pay_at BETWEEN o_orderdate - INTERVAL 30 DAY AND o_orderdate + INTERVAL 30 DAY)
+       SELECT o_orderkey AS orderkey, o_orderdate AS order_at, pay_at, 'matched' AS output FROM m
+       UNION ALL SELECT o_orderkey, o_orderdate, NULL, 'unmatched_order' FROM orders
+       WHERE o_orderkey NOT IN (SELECT o_orderkey FROM m)
+       UNION ALL SELECT k, NULL, pay_at, 'unmatched_pay' FROM p
+       WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.o_orderkey = p.k AND m.pay_at = p.pay_at)"""
+)
+def stream_reconcile(spark, sf_dir):
+    orders = _stream(spark, sf_dir, "orders", "o_orderdate")
+    pays = _stream(spark, sf_dir, "lineitem", "l_shipdate", where="l_linenumber = 1")
+    found = operators.reconcile(
+        orders.select(F.col("o_orderkey").alias("orderkey"), "o_orderdate"),
+        pays.select(F.col("l_orderkey").alias("orderkey"), "l_shipdate"),
+        "orderkey", "o_orderdate", "l_shipdate", "30 days",
+    )
+    done = operators.finished(spark, found, "reconcile").filter("orderkey IS NOT NULL")  # without the end markers
+    return _ntz(done, "order_at", "pay_at")
+
+
+@query(ORACLES["top_urls"])
+def stream_top_urls(spark, sf_dir):
+    log = lines.good(lines.parse_weblog(model.weblog_lines(model.table_stream(spark, sf_dir, "events"))))
+    log = operators.with_event_time(operators.with_end(log, "ts"), "ts", DELAY)
+    path = shared_dir(spark, "top-urls")
+    operators.rank_batches(
+        log, "url", "ts", "10 minutes", "5 seconds", 5,
+        lambda batch, number: batch.write.mode("overwrite").parquet(f"{path}/batch={number}"),
+        shared_dir(spark, "top-urls-checkpoint"),
+    ).awaitTermination()
+    return _ntz(spark.read.parquet(path).drop("batch"), "window_end")

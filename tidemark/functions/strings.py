@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,29 +71,40 @@ def hash_code(text: Column, factor: int = 1) -> Column:
 def hash_code_of_texts(factor: int = 1):
     """:func:`hash_code` for long texts, as an Arrow function.
 
-    Spark interprets a fold character by character; here each text is one product of its UTF-16
-    units with powers of the multiplier, in wrapping 32-bit arithmetic.
+    Spark interprets a fold character by character; here all texts of a batch become one buffer of UTF-16
+    units, each unit is multiplied by the power of its distance from the end of its text, and the products are added
+    text by text, in wrapping 32-bit arithmetic.
     """
 
     @F.pandas_udf("int")
     def hashes(texts: pd.Series) -> pd.Series:
-        units = [None if t is None else np.frombuffer(t.encode("utf-16-le"), "<u2") for t in texts]
-        longest = max((len(u) for u in units if u is not None), default=0)
-        powers = np.full(longest + 1, HASH_MULTIPLIER, "u4")
+        column = pa.array(texts, pa.large_string(), from_pandas=True)
+        filled = pc.fill_null(column, "")
+        utf8 = _content(filled)
+        offsets = np.frombuffer(filled.buffers()[1], np.int64)[: len(filled) + 1]
+        lead = np.frombuffer(utf8, np.uint8)
+        # A byte that starts a character of four is two units, one that continues a character none.
+        units_of = np.where(lead >= 0xF0, 2, np.where((lead & 0xC0) == 0x80, 0, 1))
+        ends = np.append(0, np.cumsum(units_of))[offsets - offsets[0]]
+        units = np.frombuffer(utf8.decode().encode("utf-16-le"), "<u2").astype("u4")
+        sizes = np.diff(ends)
+        powers = np.full(int(sizes.max(initial=0)) + 1, HASH_MULTIPLIER, "u4")
         powers[:1] = 1
-        powers = np.multiply.accumulate(powers, dtype="u4")[::-1]
-        scale = factor % HASH_WORD
+        powers = np.multiply.accumulate(powers, dtype="u4")
+        products = units * powers[np.repeat(ends[1:], sizes) - 1 - np.arange(len(units))]
+        totals, some = np.zeros(len(sizes), "u4"), sizes > 0
+        if some.any():
+            totals[some] = np.add.reduceat(products, ends[:-1][some], dtype="u4")
+        found = (totals * np.uint32(factor % HASH_WORD)).astype("u4").view("i4")
+        return pd.Series(pd.arrays.IntegerArray(found, column.is_null().to_numpy(zero_copy_only=False)))
 
-        def one(u):
-            if u is None:
-                return None
-            total = (u.astype("u4") * powers[len(powers) - len(u):]).sum(dtype="u4")
-            low = int(total) * scale % HASH_WORD
-            return low - HASH_WORD if low >= HASH_WORD // 2 else low
+    return hashes
 
-        return pd.Series([one(u) for u in units], dtype="Int32")
 
-    return hashes
+def _content(column: pa.Array) -> bytes:
+    """The bytes of all texts of a column, one after the other."""
+    offsets = np.frombuffer(column.buffers()[1], np.int64)
+    return column.buffers()[2].to_pybytes()[offsets[0] : offsets[len(column)]] if column.buffers()[2] else b""
 
 
 def visitor_bucket(visitor: Column) -> Column:

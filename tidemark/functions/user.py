@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,25 +23,19 @@ def split_words(df: DataFrame, text: str, pattern: str, keep_empty: bool) -> Dat
     return words.withColumn("length", utf16_length(F.col("word")))
 
 
-class SplitWords:
-    """The same table function for SQL's LATERAL."""
-
-    def __init__(self) -> None:
-        self.pattern = re.compile("#")
-
-    def eval(self, text: str) -> Iterator[tuple[str, int]]:
-        if text is None:
-            return
-        parts = self.pattern.split(text)
-        while parts and text and parts[-1] == "":
-            parts.pop()
-        for word in parts:
-            yield word, len(word.encode("utf-16-be")) // 2
-
+def register_split_words(spark: SparkSession, name: str = "split_words", pattern: str = "#") -> None:
+    """The same table function for SQL, as ``FROM t, LATERAL split_words(t.s)``: a function Catalyst inlines.
 
-def register_split_words(spark: SparkSession, name: str = "split_words") -> None:
-    """Register :class:`SplitWords` for ``FROM t, LATERAL split_words(s)``."""
-    spark.udtf.register(name, F.udtf(SplitWords, returnType="word: string, length: int"))
+    Trailing empty strings go, as in :func:`java_split`; a text of separators only gives no rows.
+    """
+    quoted = pattern.replace("\\", "\\\\").replace("'", "\\'")
+    kept = f"regexp_replace(s, '(?:{quoted})+$', '')"
+    words = f"CASE WHEN s = '' THEN array('') WHEN {kept} = '' THEN CAST(array() AS array<string>) ELSE split({kept}, '{quoted}') END"
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(s STRING) RETURNS TABLE(word STRING, length INT) "
+        "RETURN SELECT word, CAST(octet_length(encode(word, 'UTF-16BE')) / 2 AS INT) "
+        f"FROM (SELECT explode({words}) AS word)"
+    )
 
 
 def register_average(spark: SparkSession, name: str = "avg_of") -> None:

@@ -128,43 +128,29 @@ def reconcile(
 ) -> DataFrame:
     """Orders against payments: ``matched`` pairs, ``unmatched_order`` and ``unmatched_pay``.
 
-    Two records of a key match when they are at most ``patience`` apart. One full outer join on the
-    key and a time bucket. An order is in one bucket with all its possible payments; a payment near
-    a bucket edge has a copy in the next one too, and is unmatched only if every copy is, which the
-    last aggregation counts.
+    Two records of a key match when they are at most ``patience`` apart. Pairs come from one inner join on the
+    key and a time bucket: an order is in one bucket with all its possible payments, so each pair comes once, and
+    adaptive execution may split a hot (key, bucket) on either side. Whether a record matched is decided by
+    its key and time alone, so those of the pairs, each once, rule records out by an anti join, of which the records'
+    side may be split. A NULL key or time matches nothing.
     """
     wait = micros(patience)
     order_type, pay_type = orders.schema[order_ts].dataType, pays.schema[pay_ts].dataType
-    left = orders.select(key, position(orders, order_ts).alias("_order_at")).withColumn(
-        "_bucket", left_bucket(F.col("_order_at"), -wait, wait)
-    )
-    right = (
-        pays.select(F.col(key).alias("_key"), position(pays, pay_ts).alias("_pay_at"))
-        .withColumn("_buckets", right_buckets(F.col("_pay_at"), -wait, wait))
-        .select("_key", "_pay_at", F.size("_buckets").alias("_copies"), F.posexplode("_buckets").alias("_copy", "_in"))
-    )
+    left = orders.select(key, position(orders, order_ts).alias("_order_at"))
+    right = pays.select(key, position(pays, pay_ts).alias("_pay_at"))
+    bucketed = left.withColumn("_bucket", left_bucket(F.col("_order_at"), -wait, wait))
+    copied = right.withColumn("_bucket", F.explode(right_buckets(F.col("_pay_at"), -wait, wait)))
     near = (F.col("_pay_at") - F.col("_order_at")).between(-wait, wait)
-    joined = left.join(
-        right, (F.col(key) == F.col("_key")) & (F.col("_bucket") == F.col("_in")) & near, "full_outer"
-    )
-    output = (
-        F.when(F.col("_pay_at").isNull(), "unmatched_order")
-        .when(F.col("_order_at").isNull(), "unmatched_pay")
-        .otherwise("matched")
-    )
-    counted = (
-        joined.select(F.coalesce(key, "_key").alias(key), "_order_at", "_pay_at", "_copies", "_copy", output.alias("output"))
-        .groupBy(key, "_order_at", "_pay_at", "_copies", "output")
-        .agg(F.count(F.lit(1)).alias("_n"), F.count(F.when(F.col("_copy") == 0, True)).alias("_rows"))
-    )
-    alone = F.when(F.col("_n") == F.col("_rows") * F.col("_copies"), F.col("_rows"))
-    times = F.when(F.col("output") == "unmatched_pay", alone).otherwise(F.col("_n"))
-    return (
-        counted.withColumn("_times", F.explode(F.when(times > 0, F.sequence(F.lit(1).cast("bigint"), times))))
-        .select(
-            key,
-            from_position(F.col("_order_at"), order_type).alias("order_at"),
-            from_position(F.col("_pay_at"), pay_type).alias("pay_at"),
-            "output",
-        )
+    pairs = bucketed.join(copied, [key, "_bucket"]).filter(near).select(key, "_order_at", "_pay_at")
+    none = F.lit(None).cast("bigint")
+    found = [pairs.withColumn("output", F.lit("matched"))]
+    for rows, at, output in ((left, "_order_at", "unmatched_order"), (right, "_pay_at", "unmatched_pay")):
+        matched = pairs.select(F.col(key).alias("_key"), F.col(at).alias("_at")).distinct()
+        alone = rows.join(matched, (F.col(key) == F.col("_key")) & (F.col(at) == F.col("_at")), "left_anti")
+        found.append(alone.select(key, *[F.col(c) if c == at else none.alias(c) for c in ("_order_at", "_pay_at")], F.lit(output).alias("output")))
+    return found[0].unionByName(found[1]).unionByName(found[2]).select(
+        key,
+        from_position(F.col("_order_at"), order_type).alias("order_at"),
+        from_position(F.col("_pay_at"), pay_type).alias("pay_at"),
+        "output",
     )

@@ -64,19 +64,36 @@ def rolling_concat(df: DataFrame, keys: Sequence[str], order: Sequence[str], fie
     """Running concatenation of an array column per key.
 
     Row i of a key holds i lists by definition, so the output is quadratic in the size of a key
-    and no plan makes it smaller; use it for keys with few rows.
+    and no plan makes it smaller; use it for keys with few rows, and :func:`rolling_elements` for others.
     """
     over = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumn(field, F.flatten(F.collect_list(field).over(over)))
 
 
+def rolling_elements(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], field: str, hot: HotKeys | None = None
+) -> DataFrame:
+    """The running concatenation of an array column, with every element once.
+
+    Gives keys, order columns, ``element``, its ``place`` in the list of the whole key (from 0) and ``size``, the length of
+    the list so far at its row. The list of a row is the places below its ``size``: a range of this
+    table, which has as many rows as there are elements. Rows with no elements give none. ``order`` is unique within a key.
+    """
+    n = F.coalesce(F.size(field), F.lit(0)).cast("bigint")
+    n = F.when(F.col(field).isNull(), F.lit(0).cast("bigint")).otherwise(n)
+    rows = Ordered(df.select(*keys, *order, field), keys, order, hot).running(size=running_sum(n)).rows()
+    found = rows.select(*keys, *order, "size", n.alias("_n"), F.posexplode(field).alias("_pos", "element"))
+    return found.select(*keys, *order, "element", (F.col("size") - F.col("_n") + F.col("_pos")).alias("place"), "size")
+
+
 def retract_changelog(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, hot: HotKeys | None = None
 ) -> DataFrame:
     """The changelog of ``min, max GROUP BY keys`` as rows are added in order.
 
     The first row of a key adds its result; later ones take the old result back and add the new
-    one, or give nothing if it did not change. ``change`` orders the two within an input row.
+    one, or give nothing if it did not change. ``change`` orders the two within an input row. NULL values
+    change nothing; of NULLs alone both results are NULL.
     """
     v = F.col(value).cast("bigint")
     rows = (
@@ -86,12 +103,13 @@ def retract_changelog(
             _y=running_max(v),
             _old_x=running_min(v, inclusive=False),
             _old_y=running_max(v, inclusive=False),
+            _before=running_count(inclusive=False),
         )
         .rows()
     )
     old = F.struct(F.lit(0).alias("change"), F.lit(False).alias("is_add"), F.col("_old_x").alias("x"), F.col("_old_y").alias("y"))
     new = F.struct(F.lit(1).alias("change"), F.lit(True).alias("is_add"), F.col("_x").alias("x"), F.col("_y").alias("y"))
-    is_first = F.col("_old_x").isNull()
-    changed = (F.col("_x") != F.col("_old_x")) | (F.col("_y") != F.col("_old_y"))
+    is_first = F.coalesce(F.col("_before"), F.lit(0)) == 0
+    changed = ~(F.col("_x").eqNullSafe(F.col("_old_x")) & F.col("_y").eqNullSafe(F.col("_old_y")))
     changes = F.when(is_first, F.array(new)).when(changed, F.array(old, new))
     return rows.withColumn("_c", F.explode(changes)).select(*keys, *order, "_c.*")

@@ -3,10 +3,15 @@
 Spark hands over a key's rows of one micro-batch unsorted, and fires timers after them. So rows
 are kept in state until the watermark has passed them, then fed in order together with the
 machine's own timers: late arrivals within the watermark's delay take their right place.
+
+Waiting rows lie in the state by time slot. What the watermark passes is read and removed slot by slot, and a row
+is written once and read once, however many wait: a key's work grows with its rows, not with their square. Values
+and events keep their types, NULLs included.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, Row
@@ -14,57 +19,159 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidemark.plans.durations import position
+from tidemark.plans.durations import micros, position
 from tidemark.session import use_rocksdb
-from tidemark.streaming.folds import Fold, Move, advance
+from tidemark.streaming.folds import Fold, Move, advance, in_order
+
+#: Rows of a key that are held before they are written to their slots.
+HELD_ROWS = 50_000
+
 
+def _plain(value, kind: T.DataType):
+    """Structs as tuples, all the way down: what the machines keep and what state takes. Spark hands them over as rows or dicts."""
+    if value is None:
+        return None
+    match kind:
+        case T.StructType():
+            found = [value[f.name] for f in kind] if isinstance(value, dict) else value
+            return tuple(_plain(v, f.dataType) for v, f in zip(found, kind))
+        case T.ArrayType():
+            return [_plain(v, kind.elementType) for v in value]
+        case _:
+            return value
 
-class InOrder(StatefulProcessor):
-    """Buffer rows, and feed those up to the watermark to the machine in order."""
 
-    def __init__(self, fold: Fold, key: str, output: T.StructType):
-        self.fold, self.key_name, self.names = fold, key, output.fieldNames()
+class _Machine(StatefulProcessor):
+    """A machine's state, and its results as rows."""
+
+    def __init__(self, fold: Fold, state: str, move: str, names: list[str]):
+        self.fold, self.names = fold, names
+        self.state_kind, self.move_kind = T.StructType.fromDDL(state), T.StructType.fromDDL(move)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "at bigint, tie bigint, value double, kind string")
-        self.machine = handle.getValueState("machine", self.fold.state)
+        self.machine = handle.getValueState("machine", self.state_kind)
+
+    def _advance(self, moves: list[Move], until: int) -> tuple[int | None, list[tuple]]:
+        """Feed the machine, and give the time of its next timer and what it found."""
+        state = _plain(self.machine.get(), self.state_kind) if self.machine.exists() else self.fold.start
+        state, found = advance(self.fold, state, moves, until)
+        if state == self.fold.start:
+            self.machine.clear()
+        else:
+            self.machine.update(state)
+        return self.fold.due(state), found
+
+    def _rows(self, key: tuple, found: list[tuple]) -> Iterator[Row]:
+        for values in found:
+            yield Row(**dict(zip(self.names, (*key, *values))))
+
+    def close(self) -> None:
+        pass
+
+
+class InOrder(_Machine):
+    """Keep rows by time slot, and feed those up to the watermark to the machine in order."""
+
+    def __init__(self, *args, slot: int):
+        super().__init__(*args)
+        self.slot = slot
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.moves_kind = T.StructType().add("moves", T.ArrayType(self.move_kind))
+        self.waiting = handle.getMapState("waiting", "slot bigint, part bigint", self.moves_kind)
+        self.parts = handle.getValueState("parts", "n bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = [(r.at, r.tie, r.value, r.kind) for r in rows]
-        self.waiting.appendList(new)
-        self._wake_at(min(n[0] for n in new))
+        part = self.parts.get()[0] if self.parts.exists() else 0
+        slots, held, first = defaultdict(list), 0, None
+        for row in rows:
+            move = _plain(row.move, self.move_kind)
+            slots[move[0] // self.slot].append(move)
+            first = move[0] if first is None else min(first, move[0])
+            held += 1
+            if held == HELD_ROWS:
+                part = self._keep(slots, part)
+                slots, held = defaultdict(list), 0
+        self.parts.update((self._keep(slots, part),))
+        self._wake_at(first)
         return iter(())
 
+    def _keep(self, slots: dict[int, list[tuple]], part: int) -> int:
+        for slot, moves in slots.items():
+            self.waiting.updateValue((slot, part), (moves,))
+        return part + 1
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        moves = sorted(Move(*m) for m in self.waiting.get()) if self.waiting.exists() else []
-        ready = [m for m in moves if m.at <= passed]
-        rest = moves[len(ready):]
-        state = tuple(self.machine.get()) if self.machine.exists() else self.fold.start
-        state, found = advance(self.fold, state, ready, passed)
-        if rest:
-            self.waiting.put([tuple(m) for m in rest])
-        else:
-            self.waiting.clear()
-        if state == self.fold.start:
-            self.machine.clear()
-        else:
-            self.machine.update(state)
-        wakes = [m.at for m in rest[:1]]
-        due = self.fold.due(state)
-        if due is not None:
-            wakes.append(due)
+        ready, wakes = [], []
+        for slot, part in sorted(tuple(k) for k in self.waiting.keys()):
+            if slot * self.slot > passed:
+                wakes.append(slot * self.slot)
+                break
+            moves = [Move(*m) for m in _plain(self.waiting.getValue((slot, part)), self.moves_kind)[0]]
+            rest = [m for m in moves if m.at > passed]
+            ready += [m for m in moves if m.at <= passed]
+            if rest:
+                self.waiting.updateValue((slot, part), ([tuple(m) for m in rest],))
+                wakes.append(min(m.at for m in rest))
+            else:
+                self.waiting.removeKey((slot, part))
+        due, found = self._advance(in_order(ready), passed)
+        wakes += [] if due is None else [due]
         if wakes:
             self._wake_at(min(wakes))
-        for values in found:
-            yield Row(**dict(zip(self.names, (*key, *values))))
+        yield from self._rows(key, found)
 
     def _wake_at(self, at: int) -> None:
         self.handle.registerTimer(-(-at // 1000))
 
-    def close(self) -> None:
-        pass
+
+class OnArrival(_Machine):
+    """Feed rows as they come; times and timers are those of the processing clock."""
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        now = timerValues.getCurrentProcessingTimeInMs() * 1000
+        moves = in_order(Move(*_plain(r.move, self.move_kind))._replace(at=now) for r in rows)
+        return self._after(key, moves, now)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        return self._after(key, [], timerValues.getCurrentProcessingTimeInMs() * 1000)
+
+    def _after(self, key: tuple, moves: list[Move], now: int) -> Iterator[Row]:
+        due, found = self._advance(moves, now)
+        if due is not None:
+            self.handle.registerTimer(max(-(-due // 1000), now // 1000 + 1))
+        return self._rows(key, found)
+
+
+def _moves(rows: DataFrame, key: str, ts: str | None, tie: str, value: Column | None, kind: Column | None, event: Column | None):
+    """Rows of the key, the event time and ``move``, with the types of values and events."""
+    value = F.lit(None).cast("double") if value is None else value
+    event = F.lit(None).cast("boolean") if event is None else event
+    move = F.struct(
+        (F.lit(0).cast("bigint") if ts is None else position(rows, ts)).alias("at"),
+        F.col(tie).cast("bigint").alias("tie"),
+        value.alias("value"),
+        (F.lit(None) if kind is None else kind).cast("string").alias("kind"),
+        event.alias("event"),
+    )
+    moves = rows.select(key, *([] if ts is None else [ts]), move.alias("move"))
+    fields = moves.schema["move"].dataType
+    return moves, {"value": fields["value"].dataType.simpleString(), "event": fields["event"].dataType.simpleString()}
+
+
+def _run(kind: type[_Machine], moves: DataFrame, types: dict[str, str], fold: Fold, key: str, mode: str, **more) -> DataFrame:
+    use_rocksdb(moves.sparkSession)
+    output = T.StructType([moves.schema[key], *T.StructType.fromDDL(fold.output.format(**types)).fields])
+    move = "at bigint, tie bigint, value {value}, kind string, event {event}".format(**types)
+    return moves.groupBy(key).transformWithState(
+        statefulProcessor=kind(fold, fold.state.format(**types), move, output.fieldNames(), **more),
+        outputStructType=output,
+        outputMode="Append",
+        timeMode=mode,
+    )
 
 
 def run_fold(
@@ -75,21 +182,30 @@ def run_fold(
     tie: str,
     value: Column | None = None,
     kind: Column | None = None,
+    event: Column | None = None,
+    slot: str | int = "1 minute",
 ) -> DataFrame:
-    """The machine's output per key; ``rows`` is a stream with a watermark on ``ts``."""
-    use_rocksdb(rows.sparkSession)
-    moves = rows.select(
-        key,
-        ts,
-        position(rows, ts).alias("at"),
-        F.col(tie).cast("bigint").alias("tie"),
-        (F.lit(None) if value is None else value).cast("double").alias("value"),
-        (F.lit(None) if kind is None else kind).cast("string").alias("kind"),
-    )
-    output = T.StructType([rows.schema[key], *T.StructType.fromDDL(fold.output).fields])
-    return moves.groupBy(key).transformWithState(
-        statefulProcessor=InOrder(fold, key, output),
-        outputStructType=output,
-        outputMode="Append",
-        timeMode="EventTime",
-    )
+    """The machine's output per key; ``rows`` is a stream with a watermark on ``ts``.
+
+    ``value`` and ``event`` may be of any type; ``event`` is what machines with events give back. Waiting
+    rows are kept by ``slot`` of event time: the rows of a key and slot are in memory at once.
+    """
+    moves, types = _moves(rows, key, ts, tie, value, kind, event)
+    return _run(InOrder, moves, types, fold, key, "EventTime", slot=micros(slot))
+
+
+def run_on_arrival(
+    rows: DataFrame,
+    fold: Fold,
+    key: str,
+    tie: str,
+    value: Column | None = None,
+    kind: Column | None = None,
+    event: Column | None = None,
+) -> DataFrame:
+    """The machine's output per key by the processing clock: a row's time is when its batch runs.
+
+    Rows of a batch go in by tie-break. Timers fire at their time also when no rows come.
+    """
+    moves, types = _moves(rows, key, None, tie, value, kind, event)
+    return _run(OnArrival, moves, types, fold, key, "ProcessingTime")
