@@ -241,45 +241,47 @@ def test_trees_lose_no_link(spark, tree_nodes):
     assert {i: found.get(i, i) for i in range(len(fps))} == dict(enumerate(above))
 
 
-def test_similar_groups(spark):
+def test_first_of_each_group(spark):
     rng = random.Random(10)
     words = lambda n: [rng.choice("abcdefghij") + str(rng.randint(0, 999)) for _ in range(n)]
     base = [words(300) for _ in range(5)]
     rows = []
     for i in range(60):
         text = list(base[i % 5])
-        for _ in range(rng.choice([0, 1, 3])):
+        for _ in range(rng.choice([0, 0, 1])):
             text[rng.randrange(300)] = "changed"
         rows.append((i, " ".join(text)))
-    rows += [(100 + i, " ".join(words(200))) for i in range(20)]
-    kept = {r.doc_id for r in simhash.first_of_each_group(docs(spark, rows)).collect()}
-    assert kept == {0, 1, 2, 3, 4} | set(range(100, 120))
-
-
-def test_similar_groups_lose_no_pair(spark):
-    """Lines repeated a different number of times, and pairs at the very similarity asked for."""
-    rng = random.Random(12)
-    words = lambda n: ["w%d" % rng.randrange(10**6) for _ in range(n)]
-    rows = []
-    for _ in range(200):
-        body, line = words(60), words(10)
-        rows += [" ".join(body + line * times) for times in (2, 150)]
-    for _ in range(1500):
-        body, n = words(40), rng.choice([3, 4, 5])  # a changed tail of n words: 36 - n of 36 + n shingles in common
-        rows += [" ".join(body), " ".join(body[:-n] + words(n))]
-    sets = [set(simhash.shingle_hashes(x, 5).tolist()) for x in rows]
-    kept = [i for i in range(len(rows)) if i % 2 == 0 or len(sets[i] & sets[i - 1]) < 0.8 * len(sets[i] | sets[i - 1])]
-    found = {r.doc_id for r in simhash.first_of_each_group(docs(spark, list(enumerate(rows)))).collect()}
-    assert len(kept) < len(rows) and found == set(kept)
-
-
-def test_missed_links_alone_find_all(spark):
-    rng = random.Random(13)
-    sets = [sorted(rng.sample(range(40), rng.randint(1, 12))) for _ in range(300)]
-    rows = [(i, i, np.array(x, "<u4").tobytes()) for i, x in enumerate(sets)]
-    want = {(i, j) for i, j in combinations(range(300), 2) if len(set(sets[i]) & set(sets[j])) >= 0.6 * len(set(sets[i]) | set(sets[j]))}
-    df = spark.createDataFrame(rows, "node bigint, part bigint, set binary")
-    assert want and {(r.a, r.b) for r in simhash.missed_links(df, 0.6, tree_nodes=20).collect()} == want
+    rows += [(100 + i, " ".join(words(200))) for i in range(20)] + [(200, None), (201, ""), (None, "a b"), (150, "x y"), (150, "p q r")]
+    above = {i: i for i, _ in rows if i is not None}
+    fps = [(i, simhash.fingerprint(t or "")) for i, t in rows if i is not None]
+    for _ in range(4):
+        for (i, f), (j, g) in combinations(fps, 2):
+            if (f ^ g).bit_count() <= 3:
+                above[i] = above[j] = min(above[i], above[j])
+    df = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id bigint, text string, component_id int, fp int")
+    kept = simhash.first_of_each_group(df)
+    assert kept.columns == df.columns
+    found = [r.doc_id for r in kept.collect()]
+    assert set(found) == {i for i in above if above[i] == i} | {None} and found.count(150) == 2
+    assert len(found) < len(rows) and simhash.first_of_each_group(df.limit(0)).collect() == []
+
+
+def test_packing_keeps_large_ids_beside_nulls(spark):
+    ids = [2**53 + 1, None, 2**53 + 3, None, 7]
+    df = spark.createDataFrame([(i, "the old house") for i in ids], "doc_id bigint, text string")
+    got = packing.pack_documents(df, WORD, per_shard=100).collect()
+    assert sorted(r.doc_id or 0 for r in got) == sorted(i or 0 for i in ids)
+    pieces = spark.createDataFrame([(2**53 + 1, 0, 3, 5), (None, 0, 2, 6)], "doc_id bigint, piece int, length bigint, _shard int")
+    packed = packing.pack(pieces, 1, 8).collect()
+    assert {(r.doc_id, r["_shard"], r.offset) for r in packed} == {(2**53 + 1, 5, 0), (None, 6, 3)}
+
+
+def test_repeated_texts_are_fitted_once(spark):
+    rows = [(1, f"the old house number {i % 7}", "en", 1) for i in range(300)] + [(2, "la vieja casa", "es", 1)] * 40
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, lang2 int")
+    model = language.train(df, rows_per_language=5)
+    got = {(r.text[:3], r.lang_pred) for r in language.predict(df, model).collect()}
+    assert got == {("the", "en"), ("la ", "es")}
 
 
 def test_repeated_strings(spark):

@@ -4,6 +4,7 @@ import random
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests_help import same
@@ -40,6 +41,19 @@ def test_each_stage_takes_odd_rows(spark, sf):
             out.collect()
 
 
+def test_each_stage_takes_clashing_names(spark, sf):
+    """Names the stages use themselves are the caller's columns, and come back as they were."""
+    clashing = ["lang2", "score", "component_id", "kept_text", "_shard", "fp", "cut", "spans", "lang_pred", "t", "place"]
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(40)
+    odd = docs.select("*", *[F.lit(i).alias(c) for i, c in enumerate(clashing)])
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, odd, sf)
+        rows = out.collect()
+        if name != "best_fit_packing":
+            assert out.columns == odd.columns
+            assert all(r[c] == i for r in rows for i, c in enumerate(clashing))
+
+
 def test_language_stage_rejects_what_is_in_no_language(spark):
     """Learned from the texts of check-like prose: four languages of made-up words, each with its own syllables."""
     rng = random.Random(6)

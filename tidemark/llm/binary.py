@@ -105,13 +105,15 @@ class Coder:
 def raw_blocks(docs: DataFrame, tokenizer: str, end_id: int, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """Blocks of whole documents, in ascending doc_id within and across file_ids (null ids first).
 
-    Rows with the same doc_id are kept, in order of their texts. ``first`` counts the ids of the same
+    Rows with the same doc_id are kept, in order of a hash of their texts, then of the texts. The ranges are of ids and
+    hashes: what Spark samples to find them holds no texts. ``first`` counts the ids of the same
     file before the block. A document longer than a block is a block of its own.
     """
     narrow = np.dtype("<u2") if max(vocabulary_size(tokenizer), end_id + 1) <= 1 << 16 else np.dtype("<u4")
     end = np.array([end_id], "<u4").tobytes()
-    sort = ["doc_id", "text"]
-    ordered = docs.select(F.col("doc_id").cast("bigint"), "text").repartitionByRange(*sort).sortWithinPartitions(*sort)
+    sort = ["doc_id", "hash"]
+    ordered = docs.select(F.col("doc_id").cast("bigint"), "text", F.xxhash64("text").alias("hash"))
+    ordered = ordered.repartitionByRange(*sort).sortWithinPartitions(*sort, "text")
     ordered = ordered.select("doc_id", "text", F.spark_partition_id().alias("file_id"))
     kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
     names = ["file_id", "block", "first", "n_tokens", "doc_ids", "doc_lengths", "ids"]

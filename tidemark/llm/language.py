@@ -184,21 +184,22 @@ def _gram_rows(docs: DataFrame, cut: bool) -> DataFrame:
 def train(labelled: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, judges: bool = False) -> Model:
     """A model from (doc_id, text, lang); null languages and texts are left out.
 
-    At most ``rows_per_language`` rows of each language are used, those with the smallest hash of
-    their doc_id; only their sets of grams reach the driver. With ``judges`` the model also learns
-    which texts are like none of the languages.
+    At most ``rows_per_language`` texts of each language are used, those with the smallest MD5; a text counts once
+    however often it is there. Only their sets of grams reach the driver. With ``judges`` the model also learns
+    which texts are like none of the languages. Other columns are not read, whatever their names.
     """
     known = labelled.filter("lang IS NOT NULL AND text IS NOT NULL")
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    # Ranked within shares of a language first, so that no task meets all rows of one language.
-    share = Window.partitionBy("lang", "share").orderBy(*order)
-    chosen = known.select("doc_id", "lang", F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(SHARES)).alias("share"))
+    known = known.select("lang", "text", F.md5(F.col("text").cast("binary")).alias("key"))
+    # Ranked within shares of a language first, so that no task meets all texts of one language.
+    share = Window.partitionBy("lang", "share").orderBy("key")
+    chosen = known.select("lang", "key").distinct().withColumn("share", F.pmod(F.crc32(F.col("key").cast("binary")), F.lit(SHARES)))
     chosen = chosen.withColumn("place", F.row_number().over(share)).filter(F.col("place") <= rows_per_language)
-    whole = Window.partitionBy("lang").orderBy(*order)
+    whole = Window.partitionBy("lang").orderBy("key")
     chosen = chosen.withColumn("place", F.row_number().over(whole)).filter(F.col("place") <= rows_per_language)
     # At most rows_per_language rows for each language: a bound on what is broadcast.
-    chosen = F.broadcast(chosen.select(F.col("doc_id").alias("id2"), F.col("lang").alias("lang2"), "place"))
-    rows = known.join(chosen, (F.col("doc_id") == F.col("id2")) & (F.col("lang") == F.col("lang2")))
+    chosen = F.broadcast(chosen.select(F.col("lang").alias("lang2"), F.col("key").alias("key2"), "place"))
+    rows = known.join(chosen, (F.col("lang") == F.col("lang2")) & (F.col("key") == F.col("key2")))
+    rows = rows.groupBy("lang", "place").agg(F.min("text").alias("text"))  # copies are one row again
     got = sorted((r.lang, r.place, [bytes(g) for g in r.grams]) for r in _gram_rows(rows, judges).collect())
     fitted = [(lang, [np.frombuffer(g, "<u2").astype(np.int64) for g in own]) for lang, _, own in got]
     model = Model.fit([(lang, own[0]) for lang, own in fitted])
@@ -223,11 +224,12 @@ def in_a_language(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` (text, ...) with lang_pred and score (0 to 1) added; other columns are kept.
+    """``docs`` (text, ...) with lang_pred and score (0 to 1) added; other columns are kept, but ones of these names are replaced.
 
     A null text, a text without a letter and a model without languages give ``und`` and score 0. Ties
-    go to the first language in alphabetical order.
+    go to the first language in alphabetical order. Long texts are met whole.
     """
+    docs = docs.drop("lang_pred", "score")
     place = docs.columns.index("text")
     names = [*docs.columns, "lang_pred", "score"]
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)

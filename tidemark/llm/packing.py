@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -98,18 +99,24 @@ def pack(
     Pieces are dealt over ``shards`` by a hash of their key, so that copies and hot sources spread,
     and each shard is packed by :func:`best_fit`. A shard leaves about one sequence half empty, so
     shards of a few thousand pieces stay within a fraction of a per cent of one packing of all.
-    Repeated rows are packed as rows of their own; no rows give none.
+    Repeated rows are packed as rows of their own; no rows give none. Ids of any size keep their value beside nulls.
     """
     capacity = (max_tokens, max_documents or max_tokens, max_cost or max_tokens**2)
 
-    def fill(key, rows):
-        rows = rows.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable")
-        bins, offsets = best_fit(rows["length"].to_numpy(np.int64), capacity, weights, rule)
-        return rows.drop(columns="_shard").assign(sequence_id=(int(key[0]) << 32) + bins, offset=offsets)
+    shard = "_shard"
+    while shard in pieces.columns:
+        shard = f"_{shard}"
+
+    def fill(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        longest = [("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending")]
+        rows = rows.drop_columns(shard).take(pc.sort_indices(rows, sort_keys=longest))
+        bins, offsets = best_fit(rows.column("length").to_numpy().astype(np.int64), capacity, weights, rule)
+        rows = rows.append_column("sequence_id", pa.array((key[0].as_py() << 32) + bins))
+        return rows.append_column("offset", pa.array(offsets))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    dealt = pieces.withColumn("_shard", F.pmod(F.xxhash64("doc_id", "piece", "length"), F.lit(shards)))
-    return dealt.groupBy("_shard").applyInPandas(fill, f"{schema}, sequence_id bigint, offset bigint")
+    dealt = pieces.withColumn(shard, F.pmod(F.xxhash64("doc_id", "piece", "length"), F.lit(shards)))
+    return dealt.groupBy(shard).applyInArrow(fill, f"{schema}, sequence_id bigint, offset bigint")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, max_tokens: int = 2048, per_shard: int = 4096) -> DataFrame:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import merged, staged, text_batches
+from tidemark.llm.common import staged, text_batches
 from tidemark.llm.components import components
 
 TREE_NODES = 4096
@@ -117,18 +117,18 @@ def near_pairs(classes: DataFrame, radius: int = 3, tree_nodes: int = TREE_NODES
     while bands < 2 * radius + 2 and n >> (64 * (bands - radius) // bands) > 1000:
         bands += 1
     keyed = classes.select("node", "fp", F.explode(shard_keys(F.col("fp"), radius, bands)).alias("s")).select("s.k", "s.v", "node", "fp")
-    return tree_links(dealt_to_trees(keyed, tree_nodes).withColumn("set", F.lit(None).cast("binary")), radius)
+    return tree_links(dealt_to_trees(keyed, tree_nodes), radius)
 
 
-def dealt_to_trees(keyed: DataFrame, tree_nodes: int, apart: str = "node") -> DataFrame:
-    """Members (k, v, node, ...) of shards with two or more values of ``apart``, with the tree (i, j) that each builds or asks.
+def dealt_to_trees(keyed: DataFrame, tree_nodes: int) -> DataFrame:
+    """Members (k, v, node, ...) of shards with two or more nodes, with the tree (i, j) that each builds or asks.
 
     A shard of more than ``tree_nodes`` members is dealt into several trees, and every piece of it is
     sent to every tree, so the largest shard neither meets in one task nor loses a pair. Trees go to
     their queries by the shuffle and not by one broadcast, because all of them grow with the data.
     """
-    sizes = keyed.groupBy("k", "v").agg(F.count("*").alias("n"), F.min(apart).alias("least"), F.max(apart).alias("most"))
-    sizes = sizes.filter("n > 1" if apart == "node" else "least < most").select(F.col("k").alias("k2"), F.col("v").alias("v2"), "n")
+    sizes = keyed.groupBy("k", "v").agg(F.count("*").alias("n")).filter("n > 1")
+    sizes = sizes.select(F.col("k").alias("k2"), F.col("v").alias("v2"), "n")
     sizes = staged(sizes, "shard-sizes")  # so that the join shuffles both sides itself and can split a hot shard
     pieces = F.ceil(F.col("n") / tree_nodes).cast("int")
     met = keyed.join(sizes, (F.col("k") == F.col("k2")) & (F.col("v") == F.col("v2"))).withColumn("own", F.pmod(F.xxhash64("node"), pieces))
@@ -139,28 +139,16 @@ def dealt_to_trees(keyed: DataFrame, tree_nodes: int, apart: str = "node") -> Da
     )
 
 
-def _alike(a: bytes | None, b: bytes | None, similarity: float) -> bool:
-    """Whether two sets of shingle hashes have at least that Jaccard similarity."""
-    if similarity <= 0:
-        return True
-    x, y = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
-    if min(len(x), len(y)) < similarity * max(len(x), len(y)):
-        return False
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both >= similarity * (len(x) + len(y) - both)
-
-
-def tree_links(members: DataFrame, radius: int, similarity: float = 0.0) -> DataFrame:
-    """Links a < b found in the trees of members (k, v, i, j, asks, node, fp, set).
+def tree_links(members: DataFrame, radius: int) -> DataFrame:
+    """Links a < b found in the trees of members (k, v, i, j, asks, node, fp).
 
     Within a tree a link between nodes that earlier links connect is left out, so a tree gives fewer
-    links than it has members and the components stay the same. With a ``similarity`` a link also
-    needs that Jaccard similarity of the sets of shingle hashes.
+    links than it has members and the components stay the same.
     """
     order = ["k", "v", "i", "j"]
 
     def search(batches):
-        group, tree, above, sets = None, BKTree(), {}, {}
+        group, tree, above = None, BKTree(), {}
 
         def top(x):
             while above.get(x, x) != x:
@@ -169,167 +157,34 @@ def tree_links(members: DataFrame, radius: int, similarity: float = 0.0) -> Data
 
         for batch in batches:
             a, b = [], []
-            for *key, asks, node, fp, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for *key, asks, node, fp in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 fp &= (1 << 64) - 1
                 if key != group:
-                    group, tree, above, sets = key, BKTree(), {}, {}
+                    group, tree, above = key, BKTree(), {}
                 if asks or key[2] == key[3]:
                     for other in tree.within(fp, radius):
                         mine, theirs = top(node), top(other)
-                        if mine != theirs and _alike(own, sets.get(other), similarity):
+                        if mine != theirs:
                             above[mine] = theirs
                             a.append(min(node, other))
                             b.append(max(node, other))
                 if not asks:
                     tree.add(fp, node)
-                    sets[node] = own
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    rows = members.select(*order, "asks", "node", "fp", "set").repartition(*order).sortWithinPartitions(*order, "asks", "node")
+    rows = members.select(*order, "asks", "node", "fp").repartition(*order).sortWithinPartitions(*order, "asks", "node")
     return rows.mapInArrow(search, "a bigint, b bigint").distinct()
 
 
-BANDS, ROWS = 8, 3
-
-
-def _sketches(docs: DataFrame, words: int, seed: int) -> DataFrame:
-    """(doc_id, t, fp, keys, set): fingerprint, band keys of the shingles' smallest hashes, and the shingle hashes."""
-    factors = np.random.default_rng(seed).integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
-    weights = np.array([1, 0x9E3779B1, 0x85EBCA77], np.uint64)[:ROWS]
-
-    def run(batches):
-        for batch in batches:
-            fps, keys, sets = [], [], []
-            for text in batch.column(2).to_pylist():
-                hashes = shingle_hashes(text or "", words, seed)
-                fps.append(_majority(hashes))
-                own = np.unique((hashes ^ hashes >> np.uint64(32)).astype(np.uint32)) if len(hashes) else np.zeros(1, np.uint32)
-                mixed = own ^ own >> np.uint32(15)
-                least = np.array([(mixed * f ^ (mixed * f) >> np.uint32(13)).min() for f in factors], np.uint64).reshape(BANDS, ROWS)
-                keys.append((least * weights).sum(1, dtype=np.uint64).view(np.int64).tolist())
-                sets.append(own.astype("<u4").tobytes())
-            columns = [batch.column(0), batch.column(1), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64())), pa.array(sets, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "t", "fp", "keys", "set"])
-
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("t"), "text")
-    return rows.mapInArrow(run, "doc_id bigint, t string, fp bigint, keys array<bigint>, set binary")
-
-
-COUNTERS = 18  # bits of a hash that name its counter
-
-
-def _rarity(sets: DataFrame) -> np.ndarray:
-    """How many sets hold hashes with the same first bits: a bounded stand-in for each hash's own count."""
-
-    def run(batches):
-        total = np.zeros(1 << COUNTERS, np.int64)
-        for batch in batches:
-            for own in batch.column(0):
-                np.add.at(total, np.frombuffer(own.as_buffer(), "<u4") >> np.uint32(32 - COUNTERS), 1)
-        full = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(total[full])], ["at", "n"])
-
-    found = sets.select("set").mapInArrow(run, "at int, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(1 << COUNTERS, np.int64)
-    out[found.column("at").to_numpy()] = found.column("n").to_numpy()
-    return out
-
-
-def _prefixes(sets: DataFrame, similarity: float) -> DataFrame:
-    """(k, v, node, part, size, place) of the rarest hashes v of each set.
-
-    Sets of that similarity share ``similarity`` of the larger one at least, so in any common order
-    the first size - ceil(similarity * size) + 1 of both have one in common. Rarity keeps the shards small.
-    """
-    counts = _rarity(sets)
-
-    def run(batches):
-        for batch in batches:
-            for node, part, own in zip(*(batch.column(i) for i in range(3)), strict=True):
-                x = np.frombuffer(own.as_buffer(), "<u4")
-                n = len(x)
-                first = x[np.lexsort((x, counts[x >> np.uint32(32 - COUNTERS)]))[: n - int(np.ceil(similarity * n - 1e-6)) + 1]]
-                full = [np.zeros(len(first), np.int32), first.view(np.int32), np.full(len(first), node.as_py()), np.full(len(first), part.as_py())]
-                full += [np.full(len(first), n, np.int32), np.arange(len(first), dtype=np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in full], ["k", "v", "node", "part", "size", "place"])
-
-    return sets.select("node", "part", "set").mapInArrow(lambda b: merged(run(b)), "k int, v int, node bigint, part bigint, size int, place int")
-
-
-def missed_links(sets: DataFrame, similarity: float, tree_nodes: int = TREE_NODES) -> DataFrame:
-    """Links a < b of the parts that hold two sets of at least that Jaccard similarity, from (node, part, set).
-
-    Exact: candidates are all nodes of different parts that share a hash of their prefixes and whose
-    sizes and places in the prefix allow the similarity; the sets decide.
-    """
-    keyed = staged(_prefixes(sets, similarity), "prefixes")
-    order = ["v", "i", "j"]
-    members = dealt_to_trees(keyed, tree_nodes, "part").select(*order, "asks", "node", "part", "size", "place")
-
-    def search(batches):
-        group, held = None, []
-        for batch in batches:
-            a, b = [], []
-            for *key, asks, node, part, n, place in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if key != group:
-                    group, held = key, []
-                if asks or key[1] == key[2]:
-                    for other, theirs, m, at in held:
-                        # Of all hashes in common this one may be the first: then so many can follow at most.
-                        if part != theirs and (1 + similarity) * min(n - place, m - at) >= similarity * (n + m) - 1e-6:
-                            a.append(min(node, other))
-                            b.append(max(node, other))
-                            if len(a) >= 50_000:
-                                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-                                a, b = [], []
-                if not asks:
-                    held.append((node, part, n, place))
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-    pairs = members.repartition(*order).sortWithinPartitions(*order, "asks", "node").mapInArrow(search, "a bigint, b bigint").distinct()
-    left = sets.select(F.col("node").alias("a"), F.col("part").alias("p"), F.col("set").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("part").alias("q"), F.col("set").alias("y"))
+def first_of_each_group(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
+    """The row of ``docs`` (doc_id, text, ...) with the smallest doc_id of each group of :func:`near_duplicates`.
 
-    def check(batches):
-        for batch in batches:
-            like = [_alike(x.as_buffer(), y.as_buffer(), similarity) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
-            yield batch.select(["p", "q"]).filter(pa.array(like, pa.bool_()))
-
-    met = staged(pairs, "set-pairs").join(left, "a").join(right, "b").select("p", "q", "x", "y")
-    return met.mapInArrow(check, "p bigint, q bigint").select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
-
-
-def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, seed: int = 42) -> DataFrame:
-    """(t, component_id) of each distinct text (t: its md5): groups by Jaccard similarity of word shingles.
-
-    Most links are found in bands of smallest shingle hashes, 8 bands of 3, which two texts of
-    similarity 0.8 miss with a probability of 0.003; the fingerprints, which count repeats, rule
-    nothing out. Between the groups found so far all other links are found by :func:`missed_links`.
-    Null text counts as empty; copies share their text's row; rows with a null doc_id take no part.
-    """
-    rows = staged(_sketches(docs.filter("doc_id IS NOT NULL"), words, seed), "sketches")
-    classes = staged(rows.groupBy("t").agg(F.min("doc_id").alias("node")), "text-classes")
-    first = classes.select(F.col("t").alias("t2"), "node")
-    own = rows.join(first, (F.col("t") == F.col("t2")) & (F.col("doc_id") == F.col("node"))).drop("t2", "doc_id")
-    own = staged(own.select("node", "fp", "keys", "set").dropDuplicates(["node"]), "shingle-sets")
-    keyed = own.select("node", F.posexplode("keys").alias("k", "v")).select("k", "v", "node")
-    members = staged(dealt_to_trees(keyed, TREE_NODES), "shard-members")
-    met = members.join(own.select(F.col("node").alias("node2"), "fp", "set"), F.col("node") == F.col("node2"))
-    found = components(tree_links(met, 64, similarity))  # 64 bits: every pair of a shard
-    parts = staged(classes.join(found, "node", "left").select("t", "node", F.coalesce("component", "node").alias("part")), "text-parts")
-    part_of = parts.select(F.col("node").alias("node2"), "part").distinct()
-    sets = own.join(part_of, F.col("node") == F.col("node2")).select("node", "part", "set")
-    found = components(missed_links(sets, similarity)).withColumnRenamed("node", "node2")
-    return parts.join(found, F.col("part") == F.col("node2"), "left").select("t", F.coalesce("component", "part").alias("component_id"))
-
-
-def first_of_each_group(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The row of ``docs`` (doc_id, text, ...) with the smallest doc_id of each group of :func:`similar_groups`.
-
-    Of rows repeated under that doc_id all stay; rows with a null doc_id stay, as nothing names them.
+    Of rows repeated under that doc_id all stay; rows with a null doc_id stay, as nothing names them. Other
+    columns are kept, whatever their names.
     """
-    groups = staged(similar_groups(docs, words, similarity), "text-groups").select("component_id").distinct()
-    kept = docs.join(groups, F.col("doc_id") == F.col("component_id"), "left_semi")
+    groups = near_duplicates(docs, words, radius=radius).filter("doc_id IS NOT NULL")
+    first = groups.select(F.col("component_id").alias("_first_of_group")).distinct()
+    kept = docs.join(staged(first, "first-of-groups"), F.col("doc_id") == F.col("_first_of_group"), "left_semi")
     return kept.unionByName(docs.filter("doc_id IS NULL"))
 
 

@@ -203,10 +203,15 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     return _on_texts(held, covered, cut, "t binary, spans array<struct<start:bigint,stop:bigint>>, kept binary, kept_text string")
 
 
-def cut_repeats(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs``, with spans, kept and kept_text added, null where nothing was removed."""
-    found = staged(repeated_spans(docs), "repeats").withColumnRenamed("t", "_t2")
-    return docs.join(found, text_key(F.col("text")) == F.col("_t2"), "left").drop("_t2")
+def cut_repeats(docs: DataFrame, name: str = "cut") -> DataFrame:
+    """All columns of ``docs``, with ``name`` (spans, kept, kept_text) added, null where nothing was removed.
+
+    A column of that name is replaced; others are kept, whatever their names.
+    """
+    docs = docs.drop(name)
+    found = staged(repeated_spans(docs), "repeats")
+    found = found.select(F.col("t").alias(f"_key_of_{name}"), F.struct("spans", "kept", "kept_text").alias(name))
+    return docs.join(found, text_key(F.col("text")) == F.col(f"_key_of_{name}"), "left").drop(f"_key_of_{name}")
 
 
 def removal_digest(docs: DataFrame) -> DataFrame:

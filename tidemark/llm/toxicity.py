@@ -290,10 +290,14 @@ def _calibrated(z: np.ndarray, truth: np.ndarray, weight: np.ndarray) -> tuple[f
     return a / spread, c
 
 
-def predict(docs: DataFrame, model: Classifier) -> DataFrame:
-    """``docs`` (text, ...) with score (0 to 1) added; other columns are kept; null text counts as empty."""
+def predict(docs: DataFrame, model: Classifier, name: str = "score") -> DataFrame:
+    """``docs`` (text, ...) with ``name`` (0 to 1) added; other columns are kept, but one of that name is replaced.
+
+    A null text counts as empty; a long one is scored whole. Equal texts have equal scores.
+    """
+    docs = docs.drop(name)
     place = docs.columns.index("text")
-    names = [*docs.columns, "score"]
+    names = [*docs.columns, name]
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
     def run(batches):
@@ -301,4 +305,4 @@ def predict(docs: DataFrame, model: Classifier) -> DataFrame:
             scores = [model.score(t.as_py() or "") for t in batch.column(place)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names)
 
-    return docs.mapInArrow(run, f"{fields}, score double")
+    return docs.mapInArrow(run, f"{fields}, `{name}` double")
