@@ -15,7 +15,7 @@ from tidemark.llm.tokens import encoder, vocabulary_size
 
 SCALE = 20  # bits of the frequency scale: room for any vocabulary of public tokenizers
 LOW = np.uint64(1 << 31)
-BLOCK_TOKENS, LANES, CHECKPOINT_STEPS = 1 << 18, 512, 128
+BLOCK_TOKENS, LANES, CHECKPOINT_STEPS = 1 << 18, 2048, 32
 
 RAW = "file_id int, block int, first bigint, n_tokens bigint, doc_ids array<bigint>, doc_lengths array<bigint>, ids binary"
 CODED = (
@@ -149,6 +149,11 @@ def raw_blocks(docs: DataFrame, tokenizer: str, end_id: int, block_tokens: int =
     return ordered.mapInArrow(blocks, RAW)
 
 
+def lanes_of(n: int) -> int:
+    """Lanes of a block of ``n`` ids: a power of two with 64 steps or more, 16 at least."""
+    return min(LANES, max(16, 1 << (n // 64).bit_length() >> 1))
+
+
 def _unpack(ids: bytes, n: int) -> np.ndarray:
     return np.frombuffer(ids, "<u2" if len(ids) == 2 * n else "<u4")
 
@@ -192,7 +197,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, path: str) -> Non
             for row in range(batch.num_rows):
                 file_id, block, first, n, keys, lengths, ids = (c[row] for c in batch.columns)
                 values = _unpack(ids.as_buffer(), n.as_py()).astype(np.uint32)
-                lanes = LANES if len(values) >= 64 * LANES else 16
+                lanes = lanes_of(len(values))
                 states, words, marks, mark_states = coder.encode(values, lanes)
                 out = [block, first, n, keys, lengths, pa.scalar(lanes, pa.int32()), states.tobytes(), words.tobytes()]
                 out += [marks.tolist(), mark_states.tobytes(), zlib.crc32(values.astype("<u4").tobytes()), file_id]

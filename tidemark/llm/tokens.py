@@ -2,7 +2,7 @@
 
 The pre-tokenizers of the supported files never join characters over white space, so the ids of a
 text are the ids of its white-space separated units in a row. Words repeat: a unit is encoded by the
-library once per worker and looked up afterwards, and so is what stands between two spaces. A plain word goes straight to the library's model.
+library once per worker and looked up afterwards. A plain word goes straight to the library's model.
 The memo is cleared at a fixed size. Texts are split at the file's added tokens first, as the library does.
 """
 
@@ -70,8 +70,7 @@ class Encoder:
         ).findall
         self.plain = re.compile(f"{lead}[{LETTER}]+|[{PUNCTUATION}]+").fullmatch
         self.memo, self.chunks = _Memo(self._encode), _Memo(self._encode_chunk)
-        odd = SPACE.replace(" ", "", 1).replace("\t-\r", "\t\x0b-\r") if keeps_space else ""
-        self.odd = re.compile(f"[{odd}\x1c-\x1f]").search
+        self.odd = re.compile("[\x1c-\x1f]").search  # white space to str.split alone
 
     def _encode(self, unit: str) -> bytes:
         if self.plain(unit) and "'" not in unit:  # one word of the vocabulary's own alphabet
@@ -81,27 +80,14 @@ class Encoder:
         return array("I", self.tokenizer.encode(unit, add_special_tokens=False).ids).tobytes()
 
     def _encode_chunk(self, chunk: str) -> bytes:
-        """Ids of what stands between two spaces, the first of them and a line feed that opens it included."""
-        if self.lower:
-            units = self.units(chunk)
-            return self._encode(chunk) if len(units) == 1 else b"".join(map(self.chunks.__getitem__, units))
-        if chunk[0] == "\n":
-            return self.memo["\n"] + b"".join(map(self.memo.__getitem__, self.units(chunk[1:])))
-        units = self.units(" " + chunk)
-        if len(units) == 1:
-            return self._encode(units[0])
-        first = units[0][1:]
-        return (self.chunks[first] if first else self.memo[" "]) + b"".join(map(self.memo.__getitem__, units[1:]))
+        """Ids of what stands between white space, for vocabularies that don't keep it."""
+        units = self.units(chunk)
+        return self._encode(chunk) if len(units) == 1 else b"".join(map(self.chunks.__getitem__, units))
 
     def _ids(self, text: str) -> bytes:
-        if self.odd(text):
+        if self.odd(text) or not self.lower:
             return b"".join(map(self.memo.__getitem__, self.units(text)))
-        if self.lower:
-            return b"".join(map(self.chunks.__getitem__, text.split()))
-        if not text or text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n " in text or " \n" in text or "\n\n" in text:
-            return b"".join(map(self.memo.__getitem__, self.units(text)))
-        first, *rest = text.replace("\n", " \n").split(" ")
-        return b"".join(map(self.memo.__getitem__, self.units(first))) + b"".join(map(self.chunks.__getitem__, rest))
+        return b"".join(map(self.chunks.__getitem__, text.split()))
 
     def _parts(self, text: str) -> bytes:
         """Ids of a text that may hold added tokens: what stands between them is encoded on its own."""
