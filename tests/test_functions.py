@@ -152,3 +152,33 @@ def test_lateral_in_sql_stays_in_the_jvm(spark, capsys):
     capsys.readouterr()
     left.explain()
     assert "Python" not in capsys.readouterr().out
+
+
+def test_flat_aggregate(spark):
+    data = [("a", 3, "x"), ("a", None, "y"), ("a", 5, "z"), ("b", 1, "x"), (None, 7, "x"), ("c", None, "x")]
+    df = spark.createDataFrame(data, "k string, _state int, _row string")
+
+    def ends(s):
+        def end(name):
+            return F.when(s[name].isNotNull(), F.struct(F.lit(name).alias("place"), s[name].alias("value"), s["n"].alias("n")))
+
+        return F.when(s["n"] > 0, F.array(end("lo"), F.when(s["hi"] > s["lo"], end("hi"))))
+
+    state = {"lo": F.min("_state"), "hi": F.max("_state"), "n": F.count("_state")}
+    got = user.flat_aggregate(df, ["k"], state, ends)
+    assert got.columns == ["k", "place", "value", "n"]
+    want = [(None, "lo", 7, 1), ("a", "hi", 5, 2), ("a", "lo", 3, 2), ("b", "lo", 1, 1)]
+    assert sorted(rows(got), key=str) == sorted(want, key=str)
+    assert rows(user.flat_aggregate(df, [], state, ends).orderBy("place")) == [("hi", 7, 4), ("lo", 1, 4)]
+    assert rows(user.flat_aggregate(df.limit(0), ["k"], state, ends)) == []
+    renamed = user.flat_aggregate(df.withColumnRenamed("k", "_row2"), ["_row2"], state, ends)
+    assert renamed.count() == 4
+    assert sorted(rows(user.flat_aggregate(df, ["_row"], state, ends)))[0] == ("x", "hi", 7, 3)
+
+
+def test_flat_aggregate_in_part_before_the_shuffle(spark):
+    df = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
+    out = user.flat_aggregate(df, ["k"], {"top": F.max("id")}, lambda s: F.array(F.struct(s["top"].alias("top"))))
+    plan = out._jdf.queryExecution().toString()
+    assert "partial_max" in plan and "Python" not in plan
+    assert rows(out.orderBy("k")) == [(0, 99), (1, 97), (2, 98)]

@@ -230,15 +230,22 @@ def split_select(spark, sf_dir):
     return basic.select_parts(basic.label_parts(orders, label), "small", "large").select("o_orderkey", "label")
 
 
+@query("SELECT o_orderkey, 'large' AS label FROM orders WHERE o_totalprice > 250000")
+def split_select_one(spark, sf_dir):
+    orders = model.table(spark, sf_dir, "orders")
+    label = F.when(F.col("o_totalprice") > 250000, "large").otherwise("small")
+    return basic.select_parts(basic.label_parts(orders, label), "large").select("o_orderkey", "label")
+
+
 @query(
     f"""SELECT event_id, id, temperature, 'main' AS output, NULL::varchar AS message FROM {SENSOR}
-        UNION ALL SELECT event_id, id, temperature, 'freezing-alarm', 'Freezing Alarm for ' || id
+        UNION ALL SELECT event_id, id, temperature, 'frost', 'frost at ' || id
         FROM {SENSOR} WHERE temperature < 32.0"""
 )
 def side_output_alarm(spark, sf_dir):
     readings = _sensor(spark, sf_dir).select("event_id", "id", "temperature")
-    text = F.concat(F.lit("Freezing Alarm for "), F.col("id"))
-    return basic.side_output(readings, F.col("temperature") < 32.0, "freezing-alarm", text)
+    text = F.concat(F.lit("frost at "), F.col("id"))
+    return basic.side_output(readings, F.col("temperature") < 32.0, "frost", text)
 
 
 @query(f"SELECT id, temperature FROM {SENSOR}")
@@ -363,7 +370,7 @@ def word_count_window(spark, sf_dir):
 
 
 MARKETING = (
-    f"(SELECT *, CASE WHEN item_id % 2 = 0 THEN 'AppStore' ELSE 'XiaomiStore' END AS channel"
+    f"(SELECT *, CASE WHEN item_id % 2 = 0 THEN 'north' ELSE 'south' END AS channel"
     f" FROM {BEHAVIOR} WHERE behavior <> 'error')"
 )
 
@@ -798,6 +805,30 @@ def top2_per_key(spark, sf_dir):
     return user.top_two(_sensor(spark, sf_dir), "id", "temperature")
 
 
+@query(
+    f"""WITH s AS (SELECT id, min(temperature) AS lo, max(temperature) AS hi,
+                         arg_min(event_id, (temperature, event_id)) AS lo_id, arg_max(event_id, (temperature, -event_id)) AS hi_id
+                  FROM {SENSOR} GROUP BY id)
+        SELECT id, 'coldest' AS what, lo_id AS event_id, lo AS temperature FROM s
+        UNION ALL SELECT id, 'warmest', hi_id, hi FROM s WHERE hi > lo"""
+)
+def flat_aggregate_extremes(spark, sf_dir):
+    """The coldest and the warmest reading of a sensor, one row each; one row if they are alike."""
+    at = F.struct("temperature", "event_id")
+    first = F.struct("temperature", -F.col("event_id"))
+
+    def extremes(s):
+        def row(what, event, value):
+            return F.struct(F.lit(what).alias("what"), event.alias("event_id"), value.alias("temperature"))
+
+        warmest = row("warmest", s["hi"]["event_id"], s["hi"]["temperature"])
+        differ = s["hi"]["temperature"] > s["lo"]["temperature"]
+        return F.array(row("coldest", s["lo"]["event_id"], s["lo"]["temperature"]), F.when(differ, warmest))
+
+    state = {"lo": F.min(at), "hi": F.max_by(at, first)}
+    return user.flat_aggregate(_sensor(spark, sf_dir), ["id"], state, extremes)
+
+
 @query(
     """SELECT doc_id, len(p) AS words, p[1] AS head, p[-1] AS tail FROM
        (SELECT doc_id, string_split_regex(regexp_replace(text, '\\s+$', ''), '\\s') AS p FROM documents)"""

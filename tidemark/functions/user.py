@@ -1,7 +1,9 @@
-"""User-defined functions: the table function, the average, and min/max aggregates."""
+"""User-defined functions: the table function, the average, min/max and table aggregates."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,3 +74,26 @@ def top_two(df: DataFrame, key: str, value: str, pad: bool = False) -> DataFrame
         .select(key, F.explode("_p").alias("_p"))
         .select(key, "_p.temp", "_p.rank")
     )
+
+
+def flat_aggregate(
+    df: DataFrame, keys: list[str], accumulate: Mapping[str, Column], emit: Callable[[Column], Column]
+) -> DataFrame:
+    """Table aggregate of any kind: the keys and the fields of each row that a group's accumulator gives.
+
+    ``accumulate`` names aggregate expressions, which Spark computes in part before the shuffle; ``emit`` gets
+    them as one struct and returns an array of structs with named fields. A group whose array is NULL or empty
+    gives no rows, and NULL elements are left out. Without ``keys`` all rows are one group, also of an empty table.
+    """
+    state, row = unused(df.columns, "_state"), unused([*keys], "_row")
+    fields = F.struct(*[c.alias(name) for name, c in accumulate.items()])
+    groups = df.groupBy(*keys).agg(fields.alias(state))
+    rows = groups.select(*keys, F.explode(F.array_compact(emit(F.col(state)))).alias(row))
+    return rows.select(*keys, f"{row}.*")
+
+
+def unused(names: list[str], wish: str) -> str:
+    """``wish``, with underscores before it until no column is named so."""
+    while wish.lower() in {n.lower() for n in names}:
+        wish = f"_{wish}"
+    return wish

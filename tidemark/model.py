@@ -58,7 +58,7 @@ def marketing(events: DataFrame) -> DataFrame:
         "event_id",
         "user_id",
         F.col("event_type").alias("behavior"),
-        F.when(_item_id() % 2 == 0, "AppStore").otherwise("XiaomiStore").alias("channel"),
+        F.when(_item_id() % 2 == 0, "north").otherwise("south").alias("channel"),
         "ts",
     )
 
