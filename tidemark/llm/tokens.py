@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 
 #: White space as the tokenizers' patterns see it (the Unicode property White_Space).
 SPACE = "\t-\r \x85\xa0  -     　"
-MEMO_UNITS, LONGEST_UNIT = 600_000, 40
+MEMO_UNITS, LONGEST_UNIT = 1_000_000, 40
 
 
 #: Letters and punctuation of plain words: the tokenizers' patterns never split the one and always split
@@ -75,7 +75,11 @@ class Encoder:
     def _encode(self, unit: str) -> bytes:
         if self.plain(unit) and "'" not in unit:  # one word of the vocabulary's own alphabet
             unit = unit.lower() if self.lower else unit
-            found = self.model.tokenize(unit.encode().decode("latin-1").translate(self.letters))
+            if unit.isascii():  # only the space is written otherwise
+                unit = unit.replace(" ", self.letters[32])
+            else:
+                unit = unit.encode().decode("latin-1").translate(self.letters)
+            found = self.model.tokenize(unit)
             return array("I", [x.id for x in found]).tobytes()
         return array("I", self.tokenizer.encode(unit, add_special_tokens=False).ids).tobytes()
 
