@@ -190,6 +190,25 @@ def test_embedding_classes(spark):
     assert pq.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_very_large_and_small_components(spark):
+    turned = [(1, 1.0, 2.0), (2, 1e200, 2e200), (3, 1e-200, 2e-200), (4, 1e308, -1e308), (5, 5e-324, 1e-323)]
+    df = spark.createDataFrame([(i, [a, b], 1) for i, a, b in turned], "vec_id bigint, embedding array<double>, label int")
+    got = defaultdict(list)
+    for r in ann.search(df, df.filter("vec_id <= 2"), k=3).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, round(r.score, 9)))
+    assert {q: sorted(v) for q, v in got.items()} == {1: [(2, 1.0), (3, 1.0), (5, 1.0)], 2: [(1, 1.0), (3, 1.0), (5, 1.0)]}
+    classes = {r.vec_id: (r.n_links, r.component_id) for r in pq.near_duplicates(df, 0.93).collect()}
+    assert classes == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (0, 4), 5: (3, 1)}
+
+
+@pytest.mark.parametrize("kind", ["smallint", "boolean", "date"])
+def test_labels_of_other_types(spark, kind):
+    label = {"smallint": "CAST(id % 2 AS smallint)", "boolean": "id % 2 = 0", "date": "date_add(DATE'2024-01-01', CAST(id % 2 AS int))"}[kind]
+    df = spark.range(4).selectExpr("id AS vec_id", "array(1D, 2D + id / 100) AS embedding", f"{label} AS label")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in pq.near_duplicates(df, 0.93).collect()}
+    assert got == {0: (1, 0), 1: (1, 1), 2: (1, 0), 3: (1, 1)}
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(0, 60) if i % 7] + [(100, i) for i in range(200, 260)] + [(5, 5)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}

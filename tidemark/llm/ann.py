@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tidemark.llm.common import staged
-from tidemark.llm.vectors import cosine, matrix, usable
+from tidemark.llm.vectors import balanced, cosine, matrix, usable
 
 BLOCK_ROWS, QUERY_ROWS = 8192, 4096
 #: Bits of a code per component: vectors are padded with zeros before they are turned.
@@ -106,7 +106,7 @@ def _search_dim(good, dim: int, n: int, m: int, k: int, seed: int, sigmas: float
         return table.filter(F.col("dim") == dim).withColumn(name, F.pmod(F.xxhash64("vec_id"), F.lit(pieces)).cast("int"))
 
     def gather(key, t):  # a block as one row
-        x = matrix(t.column("embedding").combine_chunks())
+        x = balanced(matrix(t.column("embedding").combine_chunks()))
         packed, scale = codes(x, turn)
         ids = t.column("vec_id").to_numpy()
         row = [key[0].as_py(), ids.astype("<i8").tobytes(), x.astype("<f8").tobytes(), packed.tobytes(), scale.tobytes()]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import staged
 from tidemark.llm.components import components
-from tidemark.llm.vectors import cosine, matrix, usable
+from tidemark.llm.vectors import balanced, cosine, matrix, usable
 
 TRAINING_ROWS, BLOCK_ROWS, CODES = 20_000, 2048, 64
 
@@ -106,6 +106,8 @@ def links(classes: DataFrame, threshold: float) -> DataFrame:
     probe a list, so a list of a hot label is spread over many tasks.
     """
     spark = classes.sparkSession
+    if classes.schema["label"].dataType.simpleString() not in ("int", "bigint", "string"):
+        classes = classes.withColumn("label", F.col("label").cast("string"))
     sized = classes.withColumn("dim", F.size("embedding"))
     found = spark.createDataFrame([], "a bigint, b bigint")
     for dim, n in sorted((r.dim, r.n) for r in sized.groupBy("dim").agg(F.count("*").alias("n")).collect()):  # a row per dimension
@@ -117,14 +119,14 @@ def _links_dim(classes: DataFrame, dim: int, n: int, threshold: float) -> DataFr
     spark = classes.sparkSession
     radius = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
     sample = classes.orderBy(F.xxhash64("node"), "node").limit(TRAINING_ROWS).select("embedding").toArrow()
-    x = matrix(sample.column("embedding").combine_chunks())
+    x = balanced(matrix(sample.column("embedding").combine_chunks()))
     quantiser = Quantiser.fit(x / np.linalg.norm(x, axis=1)[:, None], max(1, int(np.sqrt(n) / 16)))
 
     def assign(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            nodes, labels, x = batch.column(0), batch.column(1), matrix(batch.column(2))
+            nodes, labels, x = batch.column(0), batch.column(1), balanced(matrix(batch.column(2)))
             unit = x / np.linalg.norm(x, axis=1)[:, None]
             cell, code, error = quantiser.encode(unit)
             q, p = quantiser.probes(unit, radius)

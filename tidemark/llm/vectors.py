@@ -20,6 +20,15 @@ def matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
+def balanced(x: np.ndarray) -> np.ndarray:
+    """Each row times a power of two, so that its largest component is near one.
+
+    Squares of very large or small components stay doubles; cosines keep every bit, as powers of two are exact.
+    """
+    _, power = np.frexp(np.abs(x).max(axis=1, initial=0.0))
+    return np.ldexp(x, -power[:, None])
+
+
 def ordered_sum(values: np.ndarray) -> np.ndarray:
     """Row sums of doubles added from left to right, so equal rows have equal sums wherever they are."""
     total = np.zeros(len(values))
