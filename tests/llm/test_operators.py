@@ -123,6 +123,29 @@ def test_coder_from_any_mark():
             assert (coder.decode(n, 16, state, words, step=64 * k, at=int(at)) == ids[64 * k * 16 : n]).all()
 
 
+def test_long_documents_span_blocks_and_pieces(spark):
+    """Documents of 0 to 3,000 ids in blocks of 1,000 with a mark every few steps; one of a million ids by several tasks."""
+    rng, plain = random.Random(8), Tokenizer.from_file(BYTE)
+    rows = [(i, " ".join(rng.choice(["tree", "red", "of", "xq", "é"]) for _ in range(rng.choice([0, 1, 40, 400, 900, 3000])))) for i in range(60)]
+    rows += [(60, "word " * 1_000_000), (60, "again"), (None, "x " * 2000)]
+    want = []
+    for key, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        want.append((key, [*plain.encode(text, add_special_tokens=False).ids, 2]))
+    for block_tokens, every in [(1000, 2), (1000, 1), (1 << 18, 32)]:
+        path = binary.new_folder(spark)
+        binary.write_tokens(docs(spark, rows), BYTE, 2, path, block_tokens=block_tokens, every=every)
+        for tasks in (None, 6):
+            got = sorted(binary.read_tokens(spark, path, tasks).collect(), key=lambda r: r.start)
+            found = [(r.doc_id, np.frombuffer(r["ids"], "<u4").tolist()) for r in got]
+            assert sorted(found, key=repr) == sorted(want, key=repr)
+            assert [r.start for r in got] == [0, *np.cumsum([r.n_tokens for r in got])[:-1].tolist()]
+            assert [r.doc_id for r in got] == [k for k, _ in want]
+        blocks = spark.read.schema(binary.CODED).parquet(f"{path}/blocks")
+        assert blocks.filter("n_tokens > %d" % block_tokens).count() == 0
+        long = binary.pieces(blocks.filter("cut_first is not null and doc_ids[0] = 60")).repartition(6)
+        assert long.selectExpr("spark_partition_id() p").distinct().count() > 3
+
+
 def test_damaged_block_is_found(spark):
     path = binary.new_folder(spark)
     binary.write_tokens(docs(spark, ODD[3:5]), BYTE, 2, path)
