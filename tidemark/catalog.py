@@ -19,9 +19,11 @@ from tidemark.operators import basic, joins, late, rank, rolling, stateful, visi
 from tidemark.operators.patterns import Pattern, match
 from tidemark.session import shared_dir
 from tidemark.sinks import documents, keyed
+from tidemark.sinks.streams import to_table
 from tidemark.sources import lines, tables
 from tidemark.streaming import folds, operators, processors
 from tidemark.streaming import patterns as stream_patterns
+from tidemark.streaming import windows as stream_windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -1138,3 +1140,70 @@ def stream_top_urls(spark, sf_dir):
         shared_dir(spark, "top-urls-checkpoint"),
     ).awaitTermination()
     return _ntz(spark.read.parquet(path).drop("batch"), "window_end")
+
+
+# Records that come late need batches in order of arrival: four, of equal spans of arrival time.
+
+PARTS = 4
+PART_ARRIVED = f"""(
+    SELECT p.*, wm FROM
+        (SELECT *, {end('ts', HOUR)} AS window_end, least({PARTS - 1}, {PARTS} * (epoch_us(arrival) - lo) // greatest(1, hi - lo)) AS part
+         FROM {ARRIVALS}, (SELECT min(epoch_us(arrival)) AS lo, max(epoch_us(arrival)) AS hi FROM {ARRIVALS})) p
+    JOIN (SELECT part, max(max(date_trunc('millisecond', ts))) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                 - INTERVAL 6 HOUR AS wm
+          FROM (SELECT ts, least({PARTS - 1}, {PARTS} * (epoch_us(arrival) - lo) // greatest(1, hi - lo)) AS part
+                FROM {ARRIVALS}, (SELECT min(epoch_us(arrival)) AS lo, max(epoch_us(arrival)) AS hi FROM {ARRIVALS}))
+          GROUP BY part) w ON w.part = p.part)"""
+
+
+def _in_parts(spark, sf_dir, run, last=True):
+    """Write the events part by part, in order of arrival, and ``run`` the stream of the folder after each."""
+    rows = _events(spark, sf_dir)
+    at = F.unix_micros((F.col("ts") + ((F.col("event_id") * 37) % 20) * F.expr("INTERVAL 30 MINUTE")).cast("timestamp"))
+    rows = rows.select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), at.alias("at"))
+    bounds = rows.agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
+    step = F.expr(f"least({PARTS - 1}, {PARTS} * (at - lo) div greatest(1, hi - lo))")
+    rows = rows.join(F.broadcast(bounds)).withColumn("part", step).drop("at", "lo", "hi")  # one row
+    folder = shared_dir(spark, "arriving")
+    for part in range(PARTS):
+        some = rows.filter(F.col("part") == part)
+        if last and part == PARTS - 1:
+            ends = [F.lit(operators.END if f.name == "ts" else None).cast(f.dataType).alias(f.name) for f in rows.schema]
+            some = some.unionByName(spark.range(1).select(*ends))
+        some.write.mode("append").parquet(folder)
+        run(spark.readStream.schema(rows.schema).parquet(folder)).awaitTermination()
+
+
+@query(
+    f"""WITH c AS (SELECT *, wm IS NULL OR window_end > wm AS on_time FROM {PART_ARRIVED}
+                   WHERE wm IS NULL OR window_end > wm - INTERVAL 2 HOUR),
+             n AS (SELECT *, count(*) OVER (PARTITION BY event_type, window_end ORDER BY part, event_id) AS n FROM c)
+        SELECT event_type, window_end, NULL::bigint AS fired_by, false AS is_update, count(*) AS count
+        FROM n WHERE on_time GROUP BY 1, 2
+        UNION ALL
+        SELECT event_type, window_end, event_id, n > 1, n FROM n WHERE NOT on_time"""
+)
+def stream_late_update(spark, sf_dir):
+    out, checkpoint = shared_dir(spark, "late-update"), shared_dir(spark, "late-update-checkpoint")
+    schema = None
+
+    def run(stream):
+        nonlocal schema
+        found = stream_windows.late_updates(stream, ["event_type"], "ts", "event_id", "1 hour", "6 hours", "2 hours")
+        schema = found.schema
+        return to_table(found, out, checkpoint)
+
+    _in_parts(spark, sf_dir, run)
+    return _ntz(spark.read.schema(schema).parquet(out), "window_end")
+
+
+@query(
+    f"""SELECT event_id, event_type, CASE WHEN wm IS NOT NULL AND window_end <= wm THEN 'late' ELSE 'main' END AS output
+        FROM {PART_ARRIVED}"""
+)
+def stream_late_side(spark, sf_dir):
+    folder, tops = shared_dir(spark, "late-side"), shared_dir(spark, "late-side-tops")
+    checkpoint = shared_dir(spark, "late-side-checkpoint")
+    sinks = {k: (lambda df, k=k: df.write.mode("append").parquet(f"{folder}/output={k}")) for k in ("main", "late")}
+    _in_parts(spark, sf_dir, lambda s: operators.route_late(s, "ts", "6 hours", sinks, tops, checkpoint, "1 hour"), last=False)
+    return spark.read.parquet(folder).select("event_id", "event_type", "output")
