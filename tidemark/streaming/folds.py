@@ -54,7 +54,9 @@ def advance(
     """Feed sorted moves, then fire the timers up to ``until`` (all of them if None)."""
     out: list[tuple] = []
     for move in moves:
-        state = _fire(fold, state, out, lambda due: due < move.at)
+        due = fold.due(state)
+        if due is not None and due < move.at:
+            state = _fire(fold, state, out, lambda due: due < move.at)
         state, more = fold.row(state, move)
         out += more
     state = _fire(fold, state, out, lambda due: until is None or due <= until)
