@@ -182,3 +182,26 @@ def test_flat_aggregate_in_part_before_the_shuffle(spark):
     plan = out._jdf.queryExecution().toString()
     assert "partial_max" in plan and "Python" not in plan
     assert rows(out.orderBy("k")) == [(0, 99), (1, 97), (2, 98)]
+
+
+def test_long_texts_hash_in_the_memory_of_a_piece(spark, monkeypatch):
+    """Thirty times as much text takes no more working memory, and pieces of any size give the same hashes."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    words = ["the sea and ", "ÄÖ😀 ", "日本語 ", "x"]
+    hashes, peaks = strings.hash_code_of_texts(10).func, []
+    for copies in (1, 30):
+        texts = pa.array([words[i % 4] * 20_000 for i in range(10)] * copies)
+        tracemalloc.start()
+        found = hashes(texts)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert found.to_pylist() == found[:10].to_pylist() * copies
+    assert peaks[1] < 1.5 * peaks[0]
+    mixed = pa.array([None, "", *[w * n for w in words for n in (1, 7, 300)], None, ""])
+    whole = hashes(mixed).to_pylist()
+    for size in (4, 16, 100):
+        monkeypatch.setattr(strings, "PIECE_BYTES", size)
+        assert hashes(mixed).to_pylist() == whole and hashes(mixed.slice(2, 9)).to_pylist() == whole[2:11]

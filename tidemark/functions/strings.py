@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, SparkSession
@@ -15,6 +14,8 @@ HASH_MULTIPLIER = 31
 HASH_WORD = 4294967296
 BUCKET_MULTIPLIER = 61
 BUCKETS = 256
+#: Bytes of texts that are hashed together.
+PIECE_BYTES = 1 << 20
 
 
 def java_split(text: Column, pattern: str) -> Column:
@@ -71,40 +72,65 @@ def hash_code(text: Column, factor: int = 1) -> Column:
 def hash_code_of_texts(factor: int = 1):
     """:func:`hash_code` for long texts, as an Arrow function.
 
-    Spark interprets a fold character by character; here all texts of a batch become one buffer of UTF-16
-    units, each unit is multiplied by the power of its distance from the end of its text, and the products are added
-    text by text, in wrapping 32-bit arithmetic.
+    Spark interprets a fold character by character; here texts are taken together up to ``PIECE_BYTES`` at a time and become
+    one buffer of UTF-16 units, each unit is multiplied by the power of its distance from the end of its text, and the
+    products are added text by text, in wrapping 32-bit arithmetic. A longer text is hashed piece by piece. So the memory
+    is that of a piece beside a batch's own, whatever the texts.
     """
 
-    @F.pandas_udf("int")
-    def hashes(texts: pd.Series) -> pd.Series:
-        column = pa.array(texts, pa.large_string(), from_pandas=True)
-        filled = pc.fill_null(column, "")
-        utf8 = _content(filled)
-        offsets = np.frombuffer(filled.buffers()[1], np.int64)[: len(filled) + 1]
-        lead = np.frombuffer(utf8, np.uint8)
-        # A byte that starts a character of four is two units, one that continues a character none.
-        units_of = np.where(lead >= 0xF0, 2, np.where((lead & 0xC0) == 0x80, 0, 1))
-        ends = np.append(0, np.cumsum(units_of))[offsets - offsets[0]]
-        units = np.frombuffer(utf8.decode().encode("utf-16-le"), "<u2").astype("u4")
-        sizes = np.diff(ends)
-        powers = np.full(int(sizes.max(initial=0)) + 1, HASH_MULTIPLIER, "u4")
-        powers[:1] = 1
-        powers = np.multiply.accumulate(powers, dtype="u4")
-        products = units * powers[np.repeat(ends[1:], sizes) - 1 - np.arange(len(units))]
-        totals, some = np.zeros(len(sizes), "u4"), sizes > 0
-        if some.any():
-            totals[some] = np.add.reduceat(products, ends[:-1][some], dtype="u4")
-        found = (totals * np.uint32(factor % HASH_WORD)).astype("u4").view("i4")
-        return pd.Series(pd.arrays.IntegerArray(found, column.is_null().to_numpy(zero_copy_only=False)))
+    @F.arrow_udf("int")
+    def hashes(texts: pa.Array) -> pa.Array:
+        texts = texts.cast(pa.large_string())
+        found = np.zeros(len(texts), "u4")
+        filled = pc.fill_null(texts, "")
+        offsets = np.frombuffer(filled.buffers()[1], np.int64)[filled.offset : filled.offset + len(filled) + 1]
+        start = 0
+        while start < len(found):
+            stop = max(start + 1, int(np.searchsorted(offsets, offsets[start] + PIECE_BYTES, "right")) - 1)
+            if offsets[stop] - offsets[start] > PIECE_BYTES:
+                found[start] = _hash_by_pieces(filled[start].as_py())
+            else:
+                found[start:stop] = _hash_together(filled.slice(start, stop - start))[0]
+            start = stop
+        found = (found * np.uint32(factor % HASH_WORD)).astype("u4").view("i4")
+        return pa.array(found, pa.int32(), mask=texts.is_null().to_numpy(zero_copy_only=False))
 
     return hashes
 
 
+def _hash_by_pieces(text: str) -> int:
+    """The hash of a long text: that of what came before moves up by the units of the next piece."""
+    found, size = 0, PIECE_BYTES // 4
+    for at in range(0, len(text), size):
+        (piece,), (units,) = _hash_together(pa.array([text[at : at + size]], pa.large_string()))
+        found = (found * pow(HASH_MULTIPLIER, int(units), HASH_WORD) + int(piece)) % HASH_WORD
+    return found
+
+
+def _hash_together(filled: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Unsigned hashes of texts, none of them null, and their numbers of UTF-16 units."""
+    utf8 = _content(filled)
+    offsets = np.frombuffer(filled.buffers()[1], np.int64)[filled.offset : filled.offset + len(filled) + 1]
+    lead = np.frombuffer(utf8, np.uint8)
+    # A byte that starts a character of four is two units, one that continues a character none.
+    units_of = np.where(lead >= 0xF0, 2, np.where((lead & 0xC0) == 0x80, 0, 1))
+    ends = np.append(0, np.cumsum(units_of))[offsets - offsets[0]]
+    units = np.frombuffer(utf8.decode().encode("utf-16-le"), "<u2").astype("u4")
+    sizes = np.diff(ends)
+    powers = np.full(int(sizes.max(initial=0)) + 1, HASH_MULTIPLIER, "u4")
+    powers[:1] = 1
+    powers = np.multiply.accumulate(powers, dtype="u4")
+    products = units * powers[np.repeat(ends[1:], sizes) - 1 - np.arange(len(units))]
+    totals, some = np.zeros(len(sizes), "u4"), sizes > 0
+    if some.any():
+        totals[some] = np.add.reduceat(products, ends[:-1][some], dtype="u4")
+    return totals, sizes
+
+
 def _content(column: pa.Array) -> bytes:
     """The bytes of all texts of a column, one after the other."""
-    offsets = np.frombuffer(column.buffers()[1], np.int64)
-    return column.buffers()[2].to_pybytes()[offsets[0] : offsets[len(column)]] if column.buffers()[2] else b""
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    return column.buffers()[2].slice(offsets[0], offsets[-1] - offsets[0]).to_pybytes() if column.buffers()[2] else b""
 
 
 def visitor_bucket(visitor: Column) -> Column:
