@@ -70,3 +70,23 @@ def test_language_stage_rejects_what_is_in_no_language(spark):
     kept = {r.doc_id for r in corpus_pipeline.language_id(spark, df, "").collect()}
     assert not {i for i in kept if i >= 2000}
     assert {r[0] for r in short} <= kept and len(kept) >= 0.98 * (len(learned) + len(short))
+
+
+def test_language_found_is_what_follows_works_by(spark, sf):
+    """Documents without a language get that of their text; a sequence holds one language."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    is_true = {r.doc_id: r.lang for r in docs.collect()}
+    blurred = docs.withColumn("lang", F.when(F.col("doc_id") % 5 != 3, F.col("lang")))
+    found = corpus_pipeline.language_id(spark, blurred, sf).select("doc_id", "lang", "text").cache()
+    right = [r.lang == is_true[r.doc_id] for r in found.collect() if r.doc_id % 5 == 3]
+    assert found.filter("lang IS NULL").count() == 0 and sum(right) >= 0.9 * len(right) > 0
+    rows = corpus_pipeline.best_fit_packing(spark, found, sf).collect()
+    of_document = {r.doc_id: r.lang for r in found.collect()}
+    assert len({r.sequence_id for r in rows}) == len({(r.sequence_id, r.lang) for r in rows})
+    assert all(r.lang == of_document[r.doc_id] for r in rows) and len({r.lang for r in rows}) > 1
+    filled = {}
+    for r in rows:
+        filled.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in filled.values():
+        assert [o for o, _ in sorted(parts)] == [sum(n for _, n in sorted(parts)[:i]) for i in range(len(parts))]
+        assert sum(n for _, n in parts) <= 2048

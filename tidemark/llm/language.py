@@ -208,16 +208,25 @@ def train(labelled: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, judge
     return model
 
 
-def in_a_language(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs`` (text, ...) whose text the model accepts; null texts and texts without a letter go."""
+def in_a_language(docs: DataFrame, model: Model, name: str | None = None) -> DataFrame:
+    """The rows of ``docs`` (text, ...) whose text the model accepts; null texts and texts without a letter go.
+
+    With ``name``, that column of ``docs`` becomes the language of the text, as :func:`predict` finds it.
+    """
     place = docs.columns.index("text")
+    at = None if name is None else docs.columns.index(name)
 
     def run(batches):
         for batch in batches:
             texts = batch.column(place)
-            kept = []
+            kept, langs = [], []
             for _, part in text_batches([pa.RecordBatch.from_arrays([pa.nulls(len(texts)), texts], ["id", "text"])]):
-                kept += model.accepts([grams(t) for t in part]).tolist()
+                found = [grams(t) for t in part]
+                kept += model.accepts(found).tolist()
+                if at is not None:
+                    langs += [model.languages[best] for best in model.score(found).argmax(1)] if model.languages else [None] * len(part)
+            if at is not None:
+                batch = batch.set_column(at, name, pa.array(langs, pa.string()).cast(batch.schema.field(at).type))
             yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

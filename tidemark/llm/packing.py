@@ -22,12 +22,13 @@ PIECE = pa.schema(
 )
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, max_tokens: int = 2048) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, max_tokens: int = 2048, kind: str | None = None) -> DataFrame:
     """(doc_id, piece, start, length, ids) of documents (doc_id, text), end id included.
 
     Documents of more than ``max_tokens`` ids are cut into pieces of that size, the last one may be
     shorter. ``ids`` holds little-endian unsigned 32-bit integers. A null or empty text is the end id
-    alone; null or repeated doc_ids are kept row by row; other columns are ignored; no rows give none.
+    alone; null or repeated doc_ids are kept row by row; other columns are ignored, but for ``kind``, a text
+    that the pieces of a document get too; no rows give none.
     """
     end = np.array([end_id], "<u4").tobytes()
 
@@ -40,11 +41,20 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, max_tokens: i
                     part = ids[at : at + 4 * max_tokens]
                     for column, value in zip(out, (key, k, at // 4, len(part) // 4, part), strict=True):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, PIECE, strict=True)], schema=PIECE)
+            found = [pa.array(c, f.type) for c, f in zip(out, PIECE, strict=True)] if kind is None else _with_kind(out)
+            yield pa.RecordBatch.from_arrays(found, schema=PIECE if kind is None else PIECE.append(pa.field(kind, pa.string())))
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
-        cut, "doc_id bigint, piece int, start bigint, length bigint, ids binary"
-    )
+    key, schema = F.col("doc_id").cast("bigint"), "doc_id bigint, piece int, start bigint, length bigint, ids binary"
+    if kind is not None:
+        key, schema = F.struct(key.alias("doc_id"), F.col(kind).cast("string").alias("kind")), f"{schema}, `{kind}` string"
+    return docs.select(key, "text").mapInArrow(cut, schema)
+
+
+def _with_kind(out: list[list]) -> list[pa.Array]:
+    """Columns of pieces whose key is the doc_id and the kind."""
+    keys, *others = out
+    found = [pa.array(c, f.type) for c, f in zip([[k["doc_id"] for k in keys], *others], PIECE, strict=True)]
+    return [*found, pa.array([k["kind"] for k in keys], pa.string())]
 
 
 def best_fit(lengths: np.ndarray, capacity: tuple[int, int, int], weights: tuple[float, float, float], rule: str):
@@ -85,6 +95,12 @@ def best_fit(lengths: np.ndarray, capacity: tuple[int, int, int], weights: tuple
     return bins, offsets
 
 
+def _runs(column: pa.ChunkedArray) -> list[slice]:
+    """Where equal values of a sorted column lie; nulls are equal."""
+    ends = pc.run_end_encode(column.combine_chunks()).run_ends.to_pylist() if len(column) else []
+    return [slice(a, b) for a, b in zip([0, *ends], ends, strict=False)]
+
+
 def pack(
     pieces: DataFrame,
     shards: int,
@@ -93,6 +109,7 @@ def pack(
     max_cost: int | None = None,
     weights: tuple[float, float, float] = (1.0, 0.02, 0.02),
     rule: str = "norm",
+    kind: str | None = None,
 ) -> DataFrame:
     """Adds sequence_id and offset to pieces (doc_id, piece, length, ...).
 
@@ -100,6 +117,7 @@ def pack(
     and each shard is packed by :func:`best_fit`. A shard leaves about one sequence half empty, so
     shards of a few thousand pieces stay within a fraction of a per cent of one packing of all.
     Repeated rows are packed as rows of their own; no rows give none. Ids of any size keep their value beside nulls.
+    With ``kind``, pieces that differ in that column share no sequence.
     """
     capacity = (max_tokens, max_documents or max_tokens, max_cost or max_tokens**2)
 
@@ -109,8 +127,14 @@ def pack(
 
     def fill(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         longest = [("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending")]
+        longest = longest if kind is None else [(kind, "ascending"), *longest]
         rows = rows.drop_columns(shard).take(pc.sort_indices(rows, sort_keys=longest))
-        bins, offsets = best_fit(rows.column("length").to_numpy().astype(np.int64), capacity, weights, rule)
+        lengths = rows.column("length").to_numpy().astype(np.int64)
+        bins, offsets, first = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64), 0
+        for run in _runs(rows.column(kind)) if kind is not None else [slice(0, len(lengths))]:
+            bins[run], offsets[run] = best_fit(lengths[run], capacity, weights, rule)
+            bins[run] += first
+            first = int(bins[run].max(initial=first - 1)) + 1
         rows = rows.append_column("sequence_id", pa.array((key[0].as_py() << 32) + bins))
         return rows.append_column("offset", pa.array(offsets))
 
@@ -119,12 +143,14 @@ def pack(
     return dealt.groupBy(shard).applyInArrow(fill, f"{schema}, sequence_id bigint, offset bigint")
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, max_tokens: int = 2048, per_shard: int = 4096) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, max_tokens: int = 2048, per_shard: int = 4096, kind: str | None = None) -> DataFrame:
     """Tokenise, cut and pack documents; the ids stay behind as their crc32.
 
+    With ``kind``, a column of the documents, those of different kinds share no sequence, and pieces have the kind as well.
+
     Only the last piece of a document can be shorter than a sequence, so the shards hold about
     ``per_shard`` pieces to be fitted each, whatever the number of documents.
     """
-    pieces = token_pieces(docs, tokenizer, end_id, max_tokens)
-    pieces = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return pack(pieces, max(1, -(-docs.count() // per_shard)), max_tokens)
+    pieces = token_pieces(docs, tokenizer, end_id, max_tokens, kind)
+    pieces = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), *([] if kind is None else [kind]))
+    return pack(pieces, max(1, -(-docs.count() // per_shard)), max_tokens, kind=kind)
