@@ -478,3 +478,25 @@ def test_shortest_paths(spark):
     got = pieces.decode(pieces.encode(docs(spark, ODD), PIECES), PIECES).collect()
     assert [r.decoded for r in got] == [r.text for r in got] and len(got) == len(ODD)
     assert sum(len(r.ids) for r in got if not r.text) == 0
+
+
+def test_a_batch_of_texts_is_not_in_python_as_a_whole(spark):
+    """Forty times the rows of a batch take no more memory beside it, in lists of texts and in decoding."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from tidemark.llm.common import text_batches
+
+    peaks = []
+    for copies in (1, 40):
+        batch = pa.RecordBatch.from_arrays([pa.array(range(512 * copies)), pa.array(["the sea " * 200, None] * 256 * copies)], ["id", "text"])
+        tracemalloc.start()
+        rows = sum(len(ids) for ids, _ in text_batches([batch], 100_000))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert rows == 512 * copies
+    assert peaks[1] < 2 * peaks[0]
+    df = spark.createDataFrame([(i, f"row {i}") for i in range(2000)], "doc_id long, text string").coalesce(1)
+    got = pieces.decode(pieces.encode(df, PIECES), PIECES).collect()
+    assert {(r.doc_id, r.decoded) for r in got} == {(i, f"row {i}") for i in range(2000)} and not hasattr(pieces.speller(PIECES), "arcs")

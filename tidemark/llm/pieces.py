@@ -21,27 +21,27 @@ from tidemark.llm.common import text_batches
 
 MARK = "▁"
 MEMO_UNITS, LONGEST_UNIT = 400_000, 64
+#: Characters that are encoded together, and rows that are decoded together.
+TAKEN_CHARS, DECODED_ROWS = 1_000_000, 256
 
 
 class Transducer:
-    """The compiled normaliser, pieces and byte fallback of one model file."""
+    """The compiled normaliser, pieces and byte fallback of one model file: all that encoding needs."""
 
     def __init__(self, path: str):
         model = SentencePieceProcessor(model_file=path)
         n = model.get_piece_size()
-        self.byte_ids, self.spell = [0] * 256, [b""] * n
+        self.byte_ids = [0] * 256
         #: The states of the lexicon: arcs by character, and (id, cost) where a piece ends.
         self.arcs: list[dict[str, int]] = [{}]
         self.final: list[tuple[int, float] | None] = [None]
         costs, crossing = [0.0], False
         for i in range(n):
             if model.is_byte(i):
-                value = int(model.id_to_piece(i)[3:5], 16)
-                self.byte_ids[value], self.spell[i] = i, bytes([value])
+                self.byte_ids[int(model.id_to_piece(i)[3:5], 16)] = i
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 piece = model.id_to_piece(i)
                 crossing |= bool(re.search(f"[^{MARK}]{MARK}", piece))
-                self.spell[i] = piece.replace(MARK, " ").encode()
                 self._accept(piece, i, -float(model.get_score(i)))
                 costs.append(-float(model.get_score(i)))
         self.byte_cost = max(costs) + 1.0
@@ -103,6 +103,19 @@ class Transducer:
             out.append(ids)
         return b"".join(out)
 
+
+class Speller:
+    """What the pieces of one model file spell: all that decoding needs."""
+
+    def __init__(self, path: str):
+        model = SentencePieceProcessor(model_file=path)
+        self.spell = [b""] * model.get_piece_size()
+        for i in range(len(self.spell)):
+            if model.is_byte(i):
+                self.spell[i] = bytes([int(model.id_to_piece(i)[3:5], 16)])
+            elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
+                self.spell[i] = model.id_to_piece(i).replace(MARK, " ").encode()
+
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; the space that the normaliser put before it is taken away."""
         spell = self.spell
@@ -110,6 +123,12 @@ class Transducer:
         return text[1:] if text.startswith(" ") else text
 
 
+@lru_cache(maxsize=2)
+def speller(path: str) -> Speller:
+    """One speller per worker and file."""
+    return Speller(path)
+
+
 @lru_cache(maxsize=2)
 def transducer(path: str) -> Transducer:
     """One compiled transducer per worker and file."""
@@ -124,7 +143,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     """
 
     def run(batches):
-        for keys, texts in text_batches(batches):
+        for keys, texts in text_batches(batches, TAKEN_CHARS):
             fst = transducer(model)
             ids = [fst.encode(t) for t in texts]
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(texts, pa.string()), pa.array(ids, pa.binary())], ["doc_id", "text", "ids"])
@@ -140,8 +159,10 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            fst = transducer(model)
-            texts = [fst.decode(np.frombuffer(x.as_py() or b"", "<u4")) for x in batch.column(place)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names)
+            decode_ids = speller(model).decode
+            for at in range(0, batch.num_rows, DECODED_ROWS):
+                rows = batch.slice(at, DECODED_ROWS)
+                texts = [decode_ids(np.frombuffer(x.as_py() or b"", "<u4")) for x in rows.column(place)]
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(texts, pa.string())], names)
 
     return encoded.mapInArrow(run, f"{fields}, decoded string")
