@@ -156,3 +156,21 @@ def test_anchored_windows_in_blocks_of_pieces(spark):
     for policy in (HotKeys(), HotKeys(100, 2), HotKeys(100, 50)):
         got = [tuple(r) for r in anchors.anchored_counts(df, ["k"], 25, policy).select("k", "anchor", "count").collect()]
         assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_hot_rows_are_computed_once_for_sorting(spark):
+    """A costly input is computed for the two counts, for the hot rows and for the others, and not once more for a sample to sort by."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def costly(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 50):
+                part = batch.slice(at, 50)
+                seen.add(part.num_rows)
+                yield part
+
+    n = 4000
+    df = spark.range(n, numPartitions=2).selectExpr("id % 2 AS k", "id AS o").mapInArrow(costly, "k long, o long")
+    got = Ordered(df, ["k"], ["o"], HotKeys(100, 500)).running(c=running_count()).rows()
+    assert {(r.k, r.o, r.c) for r in got.collect()} == {(i % 2, i, i // 2 + 1) for i in range(n)}
+    assert seen.value <= 4 * n

@@ -4,11 +4,11 @@ A window function over ``PARTITION BY key ORDER BY ts`` puts a whole key in one
 right for almost every key and hopeless for one that holds a third of the table. ``Ordered``
 keeps the plain window plan for ordinary keys and cuts each hot key in pieces along its order:
 
-1. count all rows, a job of a few numbers. At most ``hot_rows`` of them have no hot key, and the plain
+1. count rows up to ``hot_rows``, a job of a few numbers. At most that many have no hot key, and the plain
    plan is all there is. Beyond that, count rows per key (partial aggregation, narrow columns) and write the keys above
    ``hot_rows``, of which there are at most rows / ``hot_rows``;
-2. sort the rows of hot keys over all tasks by key and order columns, number them within each
-   task, and write them. ``piece_rows`` numbers in a row are a piece, so a piece is a run of the order and
+2. write the rows of hot keys, sort them over all tasks by key and order columns, number them within each
+   task, and write them again. ``piece_rows`` numbers in a row are a piece, so a piece is a run of the order and
    never longer, whatever the values are: a stray time, a burst and a NULL key are all cut by rows;
 3. compute running values inside (key, piece);
 4. reduce each piece to one row, run over the pieces of the key, and add what earlier pieces
@@ -139,7 +139,8 @@ class Ordered:
             # The same for all rows, but not a literal: windows stay hash partitioned.
             df = df.withColumn(ALL, F.hash(self.order[0]).bitwiseAND(F.lit(0)))
         sizes = df if sizes_from is None else sizes_from
-        rows = sizes.count()
+        # With keys it only matters whether there are more than hot_rows, so no task counts on beyond that.
+        rows = sizes.limit(self.hot.hot_rows + 1).count() if keys else sizes.count()
         self.cut, self.df = False, df
         if rows > self.hot.hot_rows:
             self._cut(df, sizes if keys and set(keys) <= set(sizes.columns) else df, rows if not keys else None)
@@ -155,6 +156,8 @@ class Ordered:
                 return
             cond = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in self.keys]
             cold, hot = (df.join(found, cond, how) for how in ("left_anti", "left_semi"))
+            # Sorting over all tasks reads its input twice, first for a sample of it: not from the whole of df.
+            hot = written(hot, "hot-unsorted")
         by = [*self.keys, *self.order]
         tasks = -(-rows // (SORTED_PIECES * self.hot.piece_rows))
         spot = F.col("_spot")
