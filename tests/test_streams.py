@@ -12,6 +12,7 @@ from tidemark import model
 from tidemark.operators import joins, rank, rolling, stateful, visitors, windows
 from tidemark.operators.patterns import Pattern, match
 from tidemark.plans.durations import micros
+from tidemark.plans.panes import count_rows, sliding
 from tidemark.session import shared_dir
 from tidemark.streaming import folds, operators
 from tidemark.streaming.processors import run_fold
@@ -76,6 +77,27 @@ def test_top_items(spark, events, feed, passed):
     assert rows(got) == rows(whole.filter(F.unix_micros("window_end") <= passed))
 
 
+@pytest.mark.parametrize("together", ["30 minutes", "90 minutes", "5 hours"])
+def test_counts_of_windows_that_are_out_together(spark, events, together, monkeypatch):
+    monkeypatch.setattr(operators, "CELLS", 40)  # a few rows of a stretch at a time
+    path = shared_dir(spark, "out-together-source")
+    named = events.select(F.when(F.col("event_id") % 7 > 0, F.col("event_id") % 7).alias("item"), "ts")
+    named.write.parquet(path)
+    source = operators.with_end(spark.readStream.schema(named.schema).parquet(path), "ts")
+    source = operators.with_event_time(source, "ts", DELAY)
+    counts = done(spark, operators.sliding_counts(source, ["item"], "ts", "2 hours", "30 minutes", together))
+    whole = sliding(named, ["item"], "ts", "2 hours", "30 minutes", count=count_rows())
+    assert rows(counts) == rows(whole)
+    ranked = shared_dir(spark, "out-together")
+    operators.rank_batches(
+        source, "item", "ts", "2 hours", "30 minutes", 2,
+        lambda batch, number: batch.write.mode("overwrite").parquet(f"{ranked}/batch={number}"),
+        shared_dir(spark, "out-together-checkpoint"), together,
+    ).awaitTermination()
+    got = spark.read.parquet(ranked).select("window_end", "item", "count", "row_num")
+    assert rows(got) == rows(rank.top_per_window(named, "item", "ts", "2 hours", "30 minutes", 2))
+
+
 def folded(spark, feed, fold, **columns):
     return done(spark, run_fold(feed(), fold, "user_id", "ts", "event_id", **columns))
 

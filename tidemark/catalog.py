@@ -983,7 +983,7 @@ def stream_top_items(spark, sf_dir):
     operators.rank_batches(
         views, "item_id", "ts", "1 hour", "5 minutes", 3,
         lambda batch, number: batch.write.mode("overwrite").parquet(f"{path}/batch={number}"),
-        shared_dir(spark, "top-items-checkpoint"),
+        shared_dir(spark, "top-items-checkpoint"), together="1 hour",
     ).awaitTermination()
     return _ntz(spark.read.parquet(path).drop("batch"), "window_end")
 
@@ -1137,7 +1137,7 @@ def stream_top_urls(spark, sf_dir):
     operators.rank_batches(
         log, "url", "ts", "10 minutes", "5 seconds", 5,
         lambda batch, number: batch.write.mode("overwrite").parquet(f"{path}/batch={number}"),
-        shared_dir(spark, "top-urls-checkpoint"),
+        shared_dir(spark, "top-urls-checkpoint"), together="10 minutes",
     ).awaitTermination()
     return _ntz(spark.read.parquet(path).drop("batch"), "window_end")
 

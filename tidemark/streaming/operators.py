@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
@@ -11,7 +14,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from tidemark.operators.rank import top_n
 from tidemark.operators.windows import tumbling
 from tidemark.plans.durations import floor_to, interval, micros, position
-from tidemark.plans.panes import count_rows, sliding_plain
+from tidemark.plans.panes import before_fan_out, count_rows, sliding_plain
 from tidemark.session import shared_dir
 from tidemark.sinks.streams import route, to_table
 
@@ -55,37 +58,110 @@ def unique_visitors(df: DataFrame, user: str, ts: str, size: str) -> DataFrame:
     return counts.select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), "uv")
 
 
-def sliding_counts(df: DataFrame, keys: Sequence[str], ts: str, size: str, slide: str) -> DataFrame:
+# Sums of panes that a task holds at a time.
+CELLS = 1 << 20
+
+
+def sliding_counts(df: DataFrame, keys: Sequence[str], ts: str, size: str, slide: str, together: str | None = None) -> DataFrame:
     """Counts per key and sliding window, by panes if the slide divides the size.
 
     Rows are counted per pane, and closed panes per window: a row touches one state entry, not one
-    for each window it is in.
+    for each window it is in. A window is out when the watermark passes its end. With ``together``, windows that start in
+    the same stretch of that length are out when the last of them is closed, and a pane is shuffled once or
+    twice for each stretch, not for each window.
     """
     long, step = micros(size), micros(slide)
     if long % step:
         return sliding_plain(df, keys, ts, size, slide, count=count_rows())
-    panes = df.groupBy(*keys, F.window(ts, f"{step} microseconds").alias("_pane")).agg(F.count(F.lit(1)).alias("_n"))
+    if together is not None:
+        return _stretch_counts(_stretches(df, keys, ts, long, step, micros(together)), keys, long, step, micros(together))
+    panes = _panes(df, keys, ts, step)
     window = F.window(F.window_time("_pane"), f"{long} microseconds", f"{step} microseconds")
     counts = panes.groupBy(*keys, window.alias("_w")).agg(F.sum("_n").alias("count"))
     return counts.select(*keys, F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), "count")
 
 
+def _panes(df: DataFrame, keys: Sequence[str], ts: str, step: int) -> DataFrame:
+    return df.groupBy(*keys, F.window(ts, f"{step} microseconds").alias("_pane")).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _stretches(df: DataFrame, keys: Sequence[str], ts: str, long: int, step: int, together: int) -> DataFrame:
+    """A row per key and stretch of windows: where it begins, and all panes of its windows with their counts."""
+    if together % step:
+        raise ValueError("the slide must divide the stretch of windows that are out together")
+    stretch = F.window(F.window_time("_pane"), f"{together + long - step} microseconds", f"{together} microseconds")
+    pane = F.struct(F.unix_micros("_pane.start").alias("at"), F.col("_n").alias("n"))
+    found = _panes(df, keys, ts, step).groupBy(*keys, stretch.alias("_w")).agg(F.collect_list(pane).alias("_panes"))
+    return found.select(*keys, F.unix_micros("_w.start").alias("_first"), "_panes")
+
+
+def _stretch_counts(stretches: DataFrame, keys: Sequence[str], long: int, step: int, together: int, n: int | None = None) -> DataFrame:
+    """Counts of the windows of stretches: differences of running sums over a stretch's panes.
+
+    With ``n``, the rows of a stretch that follow each other are compared, and of each window only the ``n``
+    largest counts among some of them are kept, ties to the earlier row: no row of a window's first ``n`` is lost.
+    """
+    held, width = long // step, together // step
+
+    def run(batches):
+        for batch in batches:
+            many = max(1, CELLS // (held + width))
+            for part in (batch.slice(at, many) for at in range(0, batch.num_rows, many)):
+                first, lists = part.column("_first").to_numpy(), part.column("_panes")
+                row = np.repeat(np.arange(len(first)), pc.list_value_length(lists).to_numpy())
+                panes = lists.flatten()
+                place = (pc.struct_field(panes, "at").to_numpy() - first[row]) // step
+                sums = np.zeros((len(first), held + width), np.int64)
+                sums[row, place + 1] = pc.struct_field(panes, "n").to_numpy()
+                sums.cumsum(1, out=sums)
+                counts = sums[:, held:] - sums[:, :width]
+                shown = counts > 0
+                if n is not None:
+                    ends = [*np.flatnonzero(first[1:] != first[:-1]) + 1, len(first)]
+                    for a, b in zip([0, *ends], ends, strict=False):
+                        best, among = np.argsort(-counts[a:b], 0, "stable")[:n], np.zeros((b - a, width), bool)
+                        np.put_along_axis(among, best, True, 0)
+                        shown[a:b] &= among
+                row, place = np.nonzero(shown)
+                own = [part.column(k).take(pa.array(row)) for k in keys]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(first[row] + place * step), pa.array(counts[row, place])], [*keys, "_start", "count"])
+
+    fields = ", ".join(f"`{k}` {stretches.schema[k].dataType.simpleString()}" for k in keys)
+    counts = stretches.mapInArrow(run, f"{fields}, _start bigint, count bigint")
+    start, end = (F.timestamp_micros(F.col("_start") + more) for more in (0, long))
+    return counts.select(*keys, start.alias("window_start"), end.alias("window_end"), "count")
+
+
 def rank_batches(
-    df: DataFrame, item: str, ts: str, size: str, slide: str, n: int, write: Callable[[DataFrame, int], None], checkpoint: str
+    df: DataFrame,
+    item: str,
+    ts: str,
+    size: str,
+    slide: str,
+    n: int,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    together: str | None = None,
 ) -> StreamingQuery:
     """Top ``n`` items per sliding window, handed to ``write`` batch by batch.
 
     In append mode all counts of a window leave the state in the same batch, so ranking inside the
-    batch is exact, and no list of all items of a window is ever built.
+    batch is exact, and no list of all items of a window is ever built. ``together`` is that of ``sliding_counts``: items
+    of a stretch meet before their panes become windows, and only counts that may rank are shuffled as rows.
     """
-    counts = sliding_counts(df, [item], ts, size, slide)
+    long, step = micros(size), micros(slide)
+    in_stretches = together is not None and long % step == 0
+    found = _stretches(df, [item], ts, long, step, micros(together)) if in_stretches else sliding_counts(df, [item], ts, size, slide)
 
     def ranked(batch: DataFrame, number: int) -> None:
         order = [F.col("count").desc(), F.col(item).asc()]
+        if in_stretches:
+            near = before_fan_out(batch, "_first").sortWithinPartitions("_first", F.col(item).asc())
+            batch = _stretch_counts(near, [item], long, step, micros(together), n)
         write(top_n(batch, ["window_end"], order, n, "row_num").drop("window_start"), number)
 
     return (
-        counts.writeStream.outputMode("append")
+        found.writeStream.outputMode("append")
         .foreachBatch(ranked)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
