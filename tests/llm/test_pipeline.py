@@ -1,8 +1,10 @@
 """The pipeline and the registered queries on the small tables."""
 
 import random
+import tracemalloc
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tests_help import same
 
-from tidemark.llm import queries
+from tidemark.llm import language, queries
 
 
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
@@ -106,3 +108,33 @@ def test_each_stage_sends_small_batches(spark, sf):
         stage(spark, docs, sf)
         n, size = many.mapInArrow(sizes, "n bigint, size bigint").agg(F.max("n"), F.max("size")).first()
         assert n <= 1_000 and size < 5_000_000
+
+
+def test_repeated_passages_of_over_fifty_words_go(spark):
+    """Shorter than 400 bytes, in documents that share nothing else; a document without repeats stays as it is."""
+    rng = random.Random(9)
+    say = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 7))) for _ in range(n))
+    passages = [say(55)[:k] for k in (271, 300, 340)]
+    texts = [f"{say(80)}{i}{passages[i % 3]}{i}{say(90)}" for i in range(9)] + [say(300), f"{passages[0][:255]}!{say(60)}"]
+    rows = [(i, text, "en", "a", 0) for i, text in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    out = {r.doc_id: r for r in corpus_pipeline.repeat_removal(spark, df, "").collect()}
+    assert all(out[i].text == texts[i].replace(passages[i % 3], "") and out[i].n_chars == len(out[i].text) for i in range(9))
+    assert out[9].text == texts[9] and out[10].text == texts[10]
+
+
+def test_language_model_gathers_few_rows_at_a_time(monkeypatch):
+    """Sums are the same in every bit, and no table is indexed by the grams of all texts together."""
+    rng = np.random.default_rng(4)
+    found = [np.flatnonzero(rng.random(1 << language.BITS) < 0.1) for _ in range(200)] + [np.zeros(0, np.int64)]
+    weights = rng.random((1 << language.BITS, 4)).astype(np.float32)
+    model = language.Model(["a", "b", "c", "d"], weights, np.zeros(4), usual=weights)
+    expected = [weights[g].sum(0, dtype=np.float64).max() / len(g) if len(g) else -np.inf for g in found]
+    tracemalloc.start()
+    got = model.usualness(found)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.allclose(got, expected) and peak < 20 << 20  # all rows at once take 60 MB
+    parts = model.score(found), got
+    monkeypatch.setattr(language, "GATHERED", 1 << 30)
+    assert all((a == b).all() for a, b in zip(parts, (model.score(found), model.usualness(found)), strict=True))

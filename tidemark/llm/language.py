@@ -19,6 +19,8 @@ UNKNOWN = "und"
 #: Lengths of the pieces of fitted texts by which texts are judged, parts of the rows that are held out in
 #: turn, the share of held-out pieces that may be rejected, and pieces that this is taken from at least.
 PIECE_CHARS, PARTS, REJECTED, LEAST_PIECES = (8, 32, 128, 512, 2048), 3, 0.002, 500
+#: Grams whose rows of a table of weights are gathered together.
+GATHERED = 1 << 17
 
 
 @lru_cache(maxsize=1)
@@ -49,6 +51,22 @@ def grams(text: str) -> np.ndarray:
     return np.flatnonzero(present)
 
 
+def _sums(table: np.ndarray, found: list[np.ndarray], kind: type = np.float32) -> np.ndarray:
+    """The sum of the rows of ``table`` of each text's grams; every text has a gram.
+
+    Texts are taken until they hold ``GATHERED`` grams, so that the rows gathered stay few however many texts there are.
+    """
+    out, held, n = [], [], 0
+    for i, g in enumerate(found):
+        held.append(g)
+        n += len(g)
+        if n >= GATHERED or i + 1 == len(found):
+            sizes = np.array([len(x) for x in held])
+            out.append(np.add.reduceat(table[np.concatenate(held)], np.cumsum(sizes) - sizes, axis=0, dtype=kind))
+            held, n = [], 0
+    return np.concatenate(out)
+
+
 @dataclass
 class Model:
     """``weights`` holds, for each bucket and language, what its presence adds before the kernel's norm.
@@ -102,8 +120,7 @@ class Model:
         out = np.full((len(found), len(self.languages)), -1.0)
         full = np.flatnonzero(sizes)
         if len(full) and self.languages:
-            starts = np.cumsum(sizes[full]) - sizes[full]
-            sums = np.add.reduceat(self.weights[np.concatenate([found[i] for i in full])], starts, axis=0)
+            sums = _sums(self.weights, [found[i] for i in full])
             out[full] = sums / np.sqrt(sizes[full])[:, None] + self.bias
         return out
 
@@ -114,8 +131,7 @@ class Model:
         out = np.full(len(found), -np.inf)
         full = np.flatnonzero(sizes)
         if len(full) and self.languages:
-            starts = np.cumsum(sizes[full]) - sizes[full]
-            sums = np.add.reduceat(usual[np.concatenate([found[i] for i in full])], starts, axis=0, dtype=np.float64)
+            sums = _sums(usual, [found[i] for i in full], np.float64)
             out[full] = (sums / sizes[full][:, None]).max(1)
         return out
 
@@ -200,8 +216,9 @@ def train(labelled: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, judge
     chosen = F.broadcast(chosen.select(F.col("lang").alias("lang2"), F.col("key").alias("key2"), "place"))
     rows = known.join(chosen, (F.col("lang") == F.col("lang2")) & (F.col("key") == F.col("key2")))
     rows = rows.groupBy("lang", "place").agg(F.min("text").alias("text"))  # copies are one row again
-    got = sorted((r.lang, r.place, [bytes(g) for g in r.grams]) for r in _gram_rows(rows, judges).collect())
-    fitted = [(lang, [np.frombuffer(g, "<u2").astype(np.int64) for g in own]) for lang, _, own in got]
+    got = sorted((r.lang, r.place, r.grams) for r in _gram_rows(rows, judges).collect())
+    # Two bytes a gram, as they came: the grams of all rows and their pieces are held here together.
+    fitted = [(lang, [np.frombuffer(g, "<u2") for g in own]) for lang, _, own in got]
     model = Model.fit([(lang, own[0]) for lang, own in fitted])
     if judges:
         model.judge_by(fitted)
