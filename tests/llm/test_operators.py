@@ -194,6 +194,40 @@ def test_nearest_neighbours(spark):
     assert ann.search(df.limit(0), df.limit(0)).count() == 0
 
 
+def shuffled_bytes(df):
+    """Bytes that the exchanges of a plan that ran have taken in."""
+    plans, size = [df._jdf.queryExecution().executedPlan()], 0
+    while plans:
+        plan = plans.pop()
+        name = plan.nodeName()
+        if name == "AdaptiveSparkPlan":
+            plans.append(plan.executedPlan())
+        elif name.endswith("QueryStage"):
+            plans.append(plan.plan())
+        else:
+            size += plan.metrics().apply("dataSize").value() if name in ("Exchange", "BroadcastExchange") else 0
+            plans += [plan.children().apply(i) for i in range(plan.children().size())]
+    return size
+
+
+def test_neighbours_among_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(ann, "QUERY_ROWS", 10)
+    monkeypatch.setattr(ann, "PART_ROWS", 64, raising=False)
+    rng = np.random.default_rng(5)
+    ids, x = [*range(100), *[7] * 50], rng.standard_normal((150, 64)).astype(np.float32)  # one id of many rows
+    rows = [(i, [float(c) for c in v]) for i, v in zip(ids, x, strict=True)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").localCheckpoint()
+    found = ann.search(df, df, k=3)
+    got = defaultdict(list)
+    for r in sorted(found.collect(), key=lambda r: (r.query_id, r.rank)):
+        got[r.query_id].append((r.vec_id, r.score))
+    for q in set(ids):
+        all_ = sorted((-cosine(v, x[at]), i) for at, own in enumerate(ids) if own == q for i, v in zip(ids, x, strict=True) if i != q)
+        assert [(i, -s) for s, i in all_[:3]] == got[q]
+    assert shuffled_bytes(found) < 10 * x.nbytes  # vectors don't go to disk once for each block of queries
+
+
 def test_embedding_classes(spark):
     df, rows = vectors(spark)
     above = {r[0]: r[0] for r in rows}
