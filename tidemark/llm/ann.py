@@ -12,8 +12,10 @@ from pyspark.sql import types as T
 from tidemark.llm.common import BATCH_BYTES
 from tidemark.llm.vectors import balanced, blobs, cosine, matrix, ordered_sum, unblobbed
 
-#: Vectors of a block, queries that meet the vectors together, and vectors that a task meets them with.
+#: Vectors of a block, queries that meet the vectors together, and vectors that a task meets them with, at most.
 BLOCK_ROWS, QUERY_ROWS, PART_ROWS = 8192, 32768, 32 * 8192
+#: Bytes of each of them, at most: of vectors of many components there are fewer.
+BLOCK_BYTES, QUERY_BYTES, PART_BYTES = 4 << 20, 16 << 20, 96 << 20
 #: Vectors that give the first floors, and rows of a tile of estimates: vectors, queries.
 FIRST_ROWS, TILE_ROWS, TILE_QUERIES = 512, 256, 2048
 #: Bits of a code per component: vectors are padded with zeros before they are turned.
@@ -109,9 +111,10 @@ class Nearest:
                 np.matmul(tile, queries, out=about[: len(tile)])
                 np.greater_equal(about[: len(tile)], least - np.float32(bound[at : at + TILE_ROWS].max()), out=reach[:size].reshape(len(tile), -1))
                 reach[size:] = False
-                eights = np.flatnonzero(reach.view(np.uint64))  # most are eight times no
+                words = reach.view(np.uint64)
+                eights = np.flatnonzero(words != 0)  # most are eight times no
                 if len(eights):
-                    one = np.flatnonzero(reach.reshape(-1, 8)[eights])
+                    one = np.flatnonzero(words[eights].view(bool))
                     pair = eights[one >> 3] * 8 + (one & 7)
                     v = pair // len(least)
                     found.append(self._reranked(pair - v * len(least) + low, v + at, ids, exact, norm, unit))
@@ -124,7 +127,7 @@ class Nearest:
             x, y = q[at : at + 20_000], v[at : at + 20_000]
             near = np.flatnonzero(np.einsum("ij,ij->i", self.unit.take(x, 0), unit.take(y, 0)) >= self.floor.take(x) - self.slack)
             x, y = x[near], y[near]
-            score = ordered_sum(self.exact[x] * exact[y]) / (self.norm[x] * norm[y])
+            score = ordered_sum(self.exact.take(x, 0) * exact.take(y, 0)) / (self.norm[x] * norm[y])
             near = (score >= self.floor[x]) & (self.ids[x] != ids[y])
             kept.append((x[near], ids[y[near]], score[near]))
         return [np.concatenate(c) for c in zip(*kept, strict=True)] if kept else [c[:0] for c in self.best]
@@ -188,9 +191,12 @@ def _components(t: DataFrame) -> Column:
 def _search_dim(good, dim: int, n: int, m: int, k: int, seed: int, sigmas: float) -> DataFrame:
     turn = rotation(dim, seed)
     kinds = [np.dtype("<f4" if "float" in t.schema["embedding"].dataType.simpleString() else "<f8") for t in good]
-    parts = -(-m // QUERY_ROWS)
-    tasks = 4 * good[0].sparkSession.sparkContext.defaultParallelism
-    pieces = max(-(-n // PART_ROWS), min(-(-n // BLOCK_ROWS), -(-tasks // parts)))
+    width, query_width = (dim * kind.itemsize + -(-turn.shape[1] // 8) + 16 for kind in kinds)
+    block_rows, part_rows = (min(rows, -(-size // width)) for rows, size in ((BLOCK_ROWS, BLOCK_BYTES), (PART_ROWS, PART_BYTES)))
+    query_rows = min(QUERY_ROWS, -(-QUERY_BYTES // query_width))
+    parts = -(-m // query_rows)
+    tasks = 2 * good[0].sparkSession.sparkContext.defaultParallelism
+    pieces = max(-(-n // part_rows), min(-(-n // block_rows), -(-tasks // parts)))
     names, row = ["vec_id", "x", "packed", "scale"], "vec_id bigint, x binary, packed binary, scale double"
     shape = pa.schema([(c, pa.binary()) for c in ("ids", "x", "packed", "scale")])
 
@@ -229,8 +235,8 @@ def _search_dim(good, dim: int, n: int, m: int, k: int, seed: int, sigmas: float
 
         return table.mapInArrow(gather, "ids binary, x binary, packed binary, scale binary")
 
-    data = blocked(coded(good[0], kinds[0], pieces), kinds[0], BLOCK_ROWS)
-    asked = blocked(coded(good[1], kinds[1], parts), kinds[1], 2 * QUERY_ROWS)
+    data = blocked(coded(good[0], kinds[0], pieces), kinds[0], block_rows)
+    asked = blocked(coded(good[1], kinds[1], parts), kinds[1], 2 * query_rows)
     asked = asked.select(F.col("ids").alias("q_ids"), F.col("x").alias("q_x"), F.monotonically_increasing_id().alias("q"))
     met = asked.hint("shuffle_replicate_nl").crossJoin(data)  # each query block with the vector blocks, one after the other
 
